@@ -12,6 +12,11 @@ from .leakage import find_leaks
 from .mixture import mix, with_token_counts
 from .residue import detect_residue
 from .survivor import build_survivors, choose_survivors
+from .variants import variant_pairs
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return variant_pairs(table(spark, d, "citations"))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -47,4 +52,4 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p4_found, p4_survivors, p6_found, p7_mixture, p7_shares, p8_found)}
+    return {f.__name__: f for f in (p1_found, p4_found, p4_survivors, p6_found, p7_mixture, p7_shares, p8_found)}
