@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import cut, table
 from .leakage import find_leaks
 from .mixture import mix, with_token_counts
+from .neardup import group_records, near_duplicates, record_pairs
 from .residue import detect_residue
 from .survivor import build_survivors, choose_survivors
 from .variants import variant_pairs
@@ -19,6 +20,14 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return variant_pairs(table(spark, d, "citations"))
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return record_pairs(*near_duplicates(table(spark, d, "book_citations")))
+
+
+def p2_groups(spark: SparkSession, d: str) -> DataFrame:
+    return group_records(*near_duplicates(table(spark, d, "book_citations")))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     chosen = choose_survivors(table(spark, d, "book_metadata"))
     return chosen.where("clear_lead").select("work_id", F.col("base_id").alias("book_id"))
@@ -52,4 +61,4 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p4_found, p4_survivors, p6_found, p7_mixture, p7_shares, p8_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_groups, p4_found, p4_survivors, p6_found, p7_mixture, p7_shares, p8_found)}
