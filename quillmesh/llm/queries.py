@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .canonical import map_to_list
 from .common import cut, table
 from .leakage import find_leaks
 from .mixture import mix, with_token_counts
@@ -37,6 +38,14 @@ def p4_survivors(spark: SparkSession, d: str) -> DataFrame:
     return build_survivors(table(spark, d, "book_metadata"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return map_to_list(table(spark, d, "citations"), table(spark, d, "canonical_authors"))[0]
+
+
+def p5_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    return map_to_list(table(spark, d, "citations"), table(spark, d, "canonical_authors"))[1]
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
 
@@ -61,4 +70,4 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_groups, p4_found, p4_survivors, p6_found, p7_mixture, p7_shares, p8_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_groups, p4_found, p4_survivors, p5_found, p5_unmatched, p6_found, p7_mixture, p7_shares, p8_found)}

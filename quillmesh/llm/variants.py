@@ -19,6 +19,7 @@ costs as much as any other.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -82,8 +83,15 @@ def _settle_order(forms: DataFrame, near: DataFrame) -> DataFrame:
     )
 
 
-def resolve(spellings: DataFrame, works: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(forms, members)``: parsed spellings with their core, and ``core -> entity``.
+class Resolved(NamedTuple):
+    forms: DataFrame  # spelling, kind, stem, lead, level, shape, core
+    cores: DataFrame  # core, kind, stem, lead, level, shapes, rows, n_works
+    members: DataFrame  # core, entity
+    seen: DataFrame  # core, work, n: works cited more than once
+
+
+def resolve(spellings: DataFrame, works: DataFrame, links: DataFrame) -> Resolved:
+    """Parsed spellings with their core, and the entities of the cores.
 
     ``works``: ``(spelling, work, n)`` - what rows cite under a spelling; ``links``:
     ``(a, b)`` - spellings that one row uses for the same entity.  A core may be a
@@ -184,7 +192,8 @@ def resolve(spellings: DataFrame, works: DataFrame, links: DataFrame) -> tuple[D
     placed = short.where("stem <> ''").select(F.col("core").alias("x"), "stem", "acro").join(near_stem, "stem").join(orgs, ["y_stem", "acro"]).select("x", "y", "d")
     unplaced = short.where("stem = ''").select(F.col("core").alias("x"), "acro").join(orgs, "acro").select("x", "y", F.lit(0).alias("d"))
     by_acronym = attach(short, placed.unionByName(unplaced), members)
-    return forms, members.unionByName(by_initial).unionByName(by_stem).unionByName(by_acronym)
+    everyone = cut(members.unionByName(by_initial).unionByName(by_stem).unionByName(by_acronym))
+    return Resolved(forms, cores, everyone, seen)
 
 
 def citation_evidence(cit: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -208,7 +217,7 @@ def variant_pairs(cit: DataFrame) -> DataFrame:
     repeated rows change nothing; extra columns are ignored; an empty table gives
     no pairs.  Every pair within an entity is listed, as the result asks for.
     """
-    forms, members = resolve(*citation_evidence(cit))
-    who = cut(forms.select("spelling", "core").join(members, "core").select("entity", "spelling").distinct())
+    r = resolve(*citation_evidence(cit))
+    who = cut(r.forms.select("spelling", "core").join(r.members, "core").select("entity", "spelling").distinct())
     a, b = who.select("entity", F.col("spelling").alias("spelling_a")), who.select("entity", F.col("spelling").alias("spelling_b"))
     return a.join(b, "entity").where("spelling_a < spelling_b").select("spelling_a", "spelling_b").distinct()
