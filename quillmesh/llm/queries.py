@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .canonical import map_to_list
 from .common import cut, table
 from .leakage import find_leaks
+from .matching import matched_records
 from .mixture import mix, with_token_counts
 from .neardup import group_records, near_duplicates, record_pairs
 from .residue import detect_residue
@@ -29,6 +30,15 @@ def p2_groups(spark: SparkSession, d: str) -> DataFrame:
     return group_records(*near_duplicates(table(spark, d, "book_citations")))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    found = matched_records(table(spark, d, "book_citations"), table(spark, d, "book_metadata"))
+    return found.select("raw_id", "book_id")
+
+
+def p3_confidence(spark: SparkSession, d: str) -> DataFrame:
+    return matched_records(table(spark, d, "book_citations"), table(spark, d, "book_metadata"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     chosen = choose_survivors(table(spark, d, "book_metadata"))
     return chosen.where("clear_lead").select("work_id", F.col("base_id").alias("book_id"))
@@ -70,4 +80,4 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_groups, p4_found, p4_survivors, p5_found, p5_unmatched, p6_found, p7_mixture, p7_shares, p8_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_groups, p3_found, p3_confidence, p4_found, p4_survivors, p5_found, p5_unmatched, p6_found, p7_mixture, p7_shares, p8_found)}

@@ -38,6 +38,9 @@ def title_key(c: Column) -> Column:
     t = F.regexp_replace(t, r"[\(\[\{][^\)\]\}]*[\)\]\}]", " ")
     t = F.regexp_replace(t, r"(?:\s+[-–—]+\s+|\s*[:;]\s+).*$", "")
     t = F.regexp_replace(t, r"[\p{Z}\s]+", " ")
+    t = F.regexp_replace(t, r"&", " and ")
+    # Edition and volume remarks, "etc."
+    t = F.regexp_replace(t, r"[ ,]+(?:(?:new|rev\.?|revised|first|second|third|[0-9]+(?:st|nd|rd|th))? ?(?:ed\.|edn\.?|edition)|vol\.? ?[0-9ivx]+|volume [0-9ivx]+|etc\.?)[^a-z0-9]*$", "")
     t = F.regexp_replace(t, rf"^[^a-z0-9]*(.*?),\s*(?:{ARTICLES})[^a-z0-9]*$", "$1")
     t = F.regexp_replace(t, r"[^\p{L}\p{N}]+", " ")
     t = F.trim(F.regexp_replace(t, rf"^ ?(?:{ARTICLES}) ", ""))
