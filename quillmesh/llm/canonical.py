@@ -13,8 +13,9 @@ shapes and works of their own and maps to none.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -31,10 +32,6 @@ BLOCK = 50_000
 
 def distance(a: str, b: str) -> int:
     """Levenshtein distance (a true metric)."""
-    if a == b:
-        return 0
-    if len(a) < len(b):
-        a, b = b, a
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         prev, row[0] = row[0], i
@@ -43,10 +40,52 @@ def distance(a: str, b: str) -> int:
     return row[-1]
 
 
+class Queries:
+    """Strings as a matrix of letter codes, for distances to one string at a time."""
+
+    def __init__(self, strings: list[str]):
+        self.strings = strings
+        self.lengths = np.array([len(s) for s in strings], dtype=np.int64)
+        self.codes: dict[str, int] = {}
+        width = int(self.lengths.max()) if strings else 0
+        self.letters = np.zeros((len(strings), width), dtype=np.int32)
+        for i, s in enumerate(strings):
+            for j, c in enumerate(s):
+                self.letters[i, j] = self.codes.setdefault(c, len(self.codes) + 1)
+
+    def distances(self, s: str, which: np.ndarray) -> np.ndarray:
+        """Distances of ``s`` to the queries ``which`` (bit-parallel, Myers 1999)."""
+        m = len(s)
+        if m == 0:
+            return self.lengths[which]
+        if m > 63:
+            return np.array([distance(s, self.strings[i]) for i in which], dtype=np.int64)
+        masks = np.zeros(len(self.codes) + 1, dtype=np.uint64)
+        for i, c in enumerate(s):
+            if c in self.codes:
+                masks[self.codes[c]] |= np.uint64(1 << i)
+        one, top = np.uint64(1), np.uint64(1 << (m - 1))
+        up = np.full(len(which), np.iinfo(np.uint64).max, dtype=np.uint64)
+        down = np.zeros(len(which), dtype=np.uint64)
+        score = np.full(len(which), m, dtype=np.int64)
+        lengths = self.lengths[which]
+        for j in range(int(lengths.max()) if len(which) else 0):
+            eq = masks[self.letters[which, j]]
+            vert = eq | down
+            horiz = (((eq & up) + up) ^ up) | eq
+            plus, minus = down | ~(horiz | up), up & horiz
+            live = j < lengths
+            score += live & ((plus & top) != 0)
+            score -= live & ((minus & top) != 0)
+            plus, minus = (plus << one) | one, minus << one
+            up, down = minus | ~(vert | plus), plus & vert
+        return score
+
+
 class BKTree:
     """Strings by their distance to the string of each node."""
 
-    def __init__(self, strings: Iterator[str] | list[str] = ()):
+    def __init__(self, strings: Iterable[str] = ()):
         self.root: tuple[str, dict] | None = None
         for s in strings:
             self.add(s)
@@ -66,15 +105,25 @@ class BKTree:
                 return
             node = child
 
-    def within(self, q: str, radius: int) -> list[tuple[str, int]]:
-        """Every string at most ``radius`` from ``q``."""
-        out, stack = [], [self.root] if self.root else []
+    def within(self, queries: list[str], radius: Callable[[int], int]) -> list[tuple[str, str, int]]:
+        """``(query, string, d)`` for every string at most ``radius(len(query))`` from a query.
+
+        All queries walk the tree together; a subtree under edge ``e`` is entered
+        only by those whose distance to its parent is within their radius of ``e``.
+        """
+        q = Queries(queries)
+        reach_ = np.array([radius(len(s)) for s in queries], dtype=np.int64)
+        out: list[tuple[str, str, int]] = []
+        stack = [(self.root, np.arange(len(queries)))] if self.root and queries else []
         while stack:
-            s, children = stack.pop()
-            d = distance(q, s)
-            if d <= radius:
-                out.append((s, d))
-            stack.extend(c for e, c in children.items() if abs(e - d) <= radius)
+            (s, children), which = stack.pop()
+            d = q.distances(s, which)
+            near = d <= reach_[which]
+            out += [(queries[i], s, int(x)) for i, x in zip(which[near], d[near])]
+            for e, child in children.items():
+                go = which[np.abs(d - e) <= reach_[which]]
+                if len(go):
+                    stack.append((child, go))
         return out
 
 
@@ -90,7 +139,7 @@ def stems_in_reach(queries: DataFrame, col: str, entries: DataFrame, entry_col:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             tree = BKTree(shared.value)
             for pdf in batches:
-                rows = [(q, s, d) for q in pdf["stem"] for s, d in tree.within(q, reach(len(q)))]
+                rows = tree.within(list(pdf["stem"]), reach)
                 yield pd.DataFrame(rows, columns=["stem", "entry_stem", "d"])
 
         return asked.mapInPandas(run, "stem string, entry_stem string, d int")
