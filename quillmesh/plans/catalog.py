@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from .registry import Query
 
-def queries():
-    return {}
 
+def _parts():
+    from . import cleaning, functions
 
-def oracle_sql():
-    return {}
+    return [functions.R, cleaning.R]
+
+
+def queries() -> dict[str, Query]:
+    return {k: v for r in _parts() for k, v in r.queries.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {k: v for r in _parts() for k, v in r.sql.items()}
