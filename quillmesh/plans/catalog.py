@@ -6,9 +6,9 @@ from .registry import Query
 
 
 def _parts():
-    from . import cleaning, functions
+    from . import cleaning, functions, graph
 
-    return [functions.R, cleaning.R]
+    return [functions.R, cleaning.R, graph.R]
 
 
 def queries() -> dict[str, Query]:
