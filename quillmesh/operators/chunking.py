@@ -15,7 +15,7 @@ from ..functions.text import squeeze
 def sentences(text: Column) -> Column:
     """Trimmed sentences of a text: cut after ``. ! ?`` and white space."""
     marked = F.regexp_replace(text, r"([.!?])\s+", "$1\x01")
-    return F.filter(F.transform(F.split(marked, "\x01"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(marked, "\x01"), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def chunk_by_count(sents: DataFrame, size: int) -> DataFrame:

@@ -118,7 +118,7 @@ def categories(text: Column) -> Column:
 
 
 def infobox_names(text: Column) -> Column:
-    return F.transform(F.regexp_extract_all(text, F.lit(r"(?i)\{\{Infobox\s*([^\n|]+)"), F.lit(1)), F.trim)
+    return F.transform(F.regexp_extract_all(text, F.lit(r"(?i)\{\{Infobox\s*([^\n|]+)"), F.lit(1)), lambda x: F.trim(x))
 
 
 def is_person(text: Column) -> Column:
