@@ -85,7 +85,8 @@ def regex_extractor(excerpt: str) -> list[dict]:
 
     found = []
     for m in re.finditer(r"((?:[A-Z][\w'’-]+ ){1,3}[A-Z][\w'’-]+) (?:wrote|argued|claimed|noted|observed)(?: in [\"“]([^\"”]+)[\"”])?", excerpt):
-        found.append({"title": m.group(2), "author": m.group(1), "citation_excerpt": m.group(0), "commentary": ""})
+        author = re.sub(r"^(?:As|When|While|If|Once|Where|Here|Later|Then) ", "", m.group(1))
+        found.append({"title": m.group(2), "author": author, "citation_excerpt": m.group(0), "commentary": ""})
     return found
 
 
