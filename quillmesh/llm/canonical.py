@@ -192,17 +192,18 @@ def map_to_list(cit: DataFrame, refs: DataFrame, id_col: str = "cit_id", ref_id:
     loose = loose.join(shapes, "entity").where("most_shapes = 1").join(taken, "ref", "left_anti").select("entity", "ref")
     denotes = cut(exact.unionByName(loose).distinct())
     # -- records --------------------------------------------------------------
-    rows = cit.select(F.col(id_col).alias("id"), F.col("author").alias("spelling"), title_key(F.col("title")).alias("work")).distinct()
-    rows = rows.join(res.forms.select("spelling", "core", "level"), "spelling")
+    said = cit.select(F.col(id_col).alias("id"), F.col("author").alias("spelling"), "title")
+    rows = cut(said.select("id", "spelling").distinct().join(res.forms.select("spelling", "core"), "spelling").select("id", "core"))
     belongs = res.members.join(denotes, "entity", "left")
     share = belongs.groupBy("core").agg(F.countDistinct("entity").alias("n_entities"))
-    belongs = belongs.join(share, "core")
+    belongs = cut(belongs.join(share, "core"))
     clear = belongs.where("n_entities = 1 AND ref IS NOT NULL").select("core", "ref")
-    by_core = rows.join(clear, "core").select("id", "ref")
     # A short form of several people: the cited work tells who is meant.
     shared = belongs.where("n_entities > 1").select("core", "entity", "ref")
+    unsure = res.forms.select("spelling", "core").join(shared.select("core").distinct(), "core")
+    told = said.join(unsure, "spelling").select("id", "core", title_key(F.col("title")).alias("work")).distinct()
     cited = res.seen.join(res.cores.where("level = 2").select("core"), "core").join(res.members, "core").select("entity", "work").distinct()
-    by_work = rows.join(shared, "core").join(cited, ["entity", "work"]).where("ref IS NOT NULL").select("id", "ref")
+    by_work = told.join(shared, "core").join(cited, ["entity", "work"]).where("ref IS NOT NULL").select("id", "ref")
     # A short form of nobody who is written out: the only entry that fits.
     alone = res.members.where("core = entity").join(res.cores.where("level < 2"), "core").select("core", "kind")
     fits = hits.where("d = 0 AND level < 2").join(alone.select("core"), "core", "left_semi").where(
@@ -216,10 +217,9 @@ def map_to_list(cit: DataFrame, refs: DataFrame, id_col: str = "cit_id", ref_id:
     rivals = res.cores.where("level = 2 AND kind = 'person'").join(res.members, "core").join(denotes, "entity", "left_anti").select("stem").distinct()
     fits = fits.join(rivals, "stem", "left_anti").select("core", "ref").unionByName(acronyms).distinct()
     only = fits.withColumn("n", F.count("*").over(W.partitionBy("core"))).where("n = 1").select("core", "ref")
-    by_fit = rows.join(only, "core").select("id", "ref")
-    matches = cut(by_core.unionByName(by_work).unionByName(by_fit).distinct())
-    said = cit.select(F.col(id_col).alias("id"), "author").distinct()
-    unmatched = said.groupBy("author").agg(F.count("*").alias("n")).join(
-        said.join(matches.select("id").distinct(), "id", "left_semi").select(F.col("author").alias("m")).distinct(), F.col("author").eqNullSafe(F.col("m")), "left_anti"
-    )
+    by_core = rows.join(clear.unionByName(only), "core").select("id", "ref")
+    matches = cut(by_core.unionByName(by_work).distinct())
+    typed = cit.select(F.col(id_col).alias("id"), "author").distinct()
+    meant = typed.join(matches.select("id").distinct(), "id", "left_semi").select(F.col("author").alias("m")).distinct()
+    unmatched = typed.groupBy("author").agg(F.count("*").alias("n")).join(meant, F.col("author").eqNullSafe(F.col("m")), "left_anti")
     return matches.select(F.col("id").alias(id_col), F.col("ref").alias(ref_id)), unmatched

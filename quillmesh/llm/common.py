@@ -63,4 +63,4 @@ def words(text: str) -> list[str]:
 
 def blank(c: Column) -> Column:
     """True for null and for values of nothing but white space."""
-    return c.isNull() | ~c.rlike(r"(?U)[^\s\p{Z}]")
+    return c.isNull() | ((F.length(F.trim(c)) == 0) | ~c.rlike(r"[^\s\p{Z}]"))

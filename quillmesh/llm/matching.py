@@ -75,10 +75,10 @@ def catalogue_works(meta: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     its title and author, else records with equal title and author form a work.
     """
     rec = meta.where(F.col("book_id").isNotNull()).select(
-        "book_id", "work_id", title_key(F.coalesce(F.when(~blank(F.col("title")), F.col("title")), F.col("title_without_series"))).alias("wkey"),
+        "book_id", "work_id", F.coalesce(F.when(~blank(F.col("title")), F.col("title")), F.col("title_without_series")).alias("title"),
         F.expr("try_element_at(authors, 1)").alias("first"),
-    ).select("book_id", "work_id", "wkey", F.col("first.author_id").alias("aid"), F.col("first.name").alias("name")).distinct()
-    rec = cut(rec)
+    ).select("book_id", "work_id", "title", F.col("first.author_id").alias("aid"), F.col("first.name").alias("name")).distinct()
+    rec = cut(rec.withColumn("wkey", title_key(F.col("title"))).drop("title"))
     forms = cut(_author_forms(rec, "name"))
     lone = rec.where(F.col("work_id").isNull() & F.col("wkey").isNotNull()).join(forms, "name")
     known = rec.where(F.col("work_id").isNotNull()).join(forms, "name").select("work_id", "wkey", "kind", "stem", "lead").distinct()
@@ -161,11 +161,9 @@ def match_mentions(cites: DataFrame, meta: DataFrame, accept: float = ACCEPT) ->
     authors match nothing; equal mentions share one result; repeated deliveries
     change nothing; an empty table on either side gives no matches.
     """
-    rows = cites.where(~blank(F.col("title")) & ~blank(F.col("author")) & F.col("raw_id").isNotNull()).select(
-        "raw_id", "author", title_key(F.col("title")).alias("key"), F.col("citation_excerpt").alias("said")
-    ).where(F.col("key").isNotNull())
-    rows = rows.withColumn("m", F.xxhash64("author", "key"))
-    mentions = cut(rows.groupBy("m", "author", "key").agg(F.count("*").alias("n")))
+    rows = cites.where(~blank(F.col("title")) & ~blank(F.col("author")) & F.col("raw_id").isNotNull()).select("raw_id", "author", "title", F.xxhash64("author", "title").alias("m"))
+    # A mention is a distinct pair of values as typed; only these are normalised.
+    mentions = cut(rows.groupBy("m", "author", "title").agg(F.count("*").alias("n")).withColumn("key", title_key(F.col("title"))).where(F.col("key").isNotNull()).select("m", "author", "key"))
     forms = cut(_author_forms(mentions, "author"))
     records, titles, authors = catalogue_works(meta)
     # Only distances between cited and listed stems are wanted, each stem once.
@@ -193,7 +191,11 @@ def match_mentions(cites: DataFrame, meta: DataFrame, accept: float = ACCEPT) ->
     edges = cand.groupBy("m", "work").agg(F.max("score").alias("score"), F.max_by("stem", "score").alias("slot"))
     # The year a row gives is worth little, as it may be another edition's; it breaks ties.
     years = meta.where(F.col("publication_year").between(-3000, 2100) & ~F.col("publication_year").isin(0)).select("book_id", F.col("publication_year").alias("y")).join(records, "book_id").select("work", "y").distinct()
-    told = rows.select("m", F.explode(F.expr(r"regexp_extract_all(coalesce(said, ''), '[\\(\\[, ](\\d{3,4})[\\)\\]]?$', 1)")).alias("t")).select("m", F.col("t").cast("int").alias("y")).distinct()
+    # Only mentions with a choice need it.
+    edges = cut(edges)
+    torn = edges.groupBy("m").agg(F.count("*").alias("n")).where("n > 1").select("m")
+    said = cites.select(F.xxhash64("author", "title").alias("m"), "citation_excerpt").where(F.col("citation_excerpt").isNotNull()).join(torn, "m", "left_semi").distinct()
+    told = said.select("m", F.explode(F.regexp_extract_all("citation_excerpt", F.lit(r"[\(\[, ](\d{3,4})[\)\]]?$"), F.lit(1))).alias("t")).select("m", F.col("t").cast("int").alias("y")).distinct()
     agree = told.join(edges.select("m", "work"), "m").join(years, ["work", "y"]).select("m", "work").distinct().withColumn("year", F.lit(1.0))
     edges = edges.join(agree, ["m", "work"], "left").select("m", F.col("work").alias("w"), "slot", F.exp(F.col("score") + F.coalesce("year", F.lit(0.0))).alias("odds"))
     marginals = propagate(edges)

@@ -149,7 +149,9 @@ def resolve(spellings: DataFrame, works: DataFrame, links: DataFrame) -> Resolve
     )
     up = cut(full.select(F.col("core").alias("x")).join(parent, "x", "left").select("x", F.coalesce("root", "x").alias("root")))
     while True:  # pointer jumping; every pointer leads to a higher rank, so it ends
-        jump = cut(up.join(up.select(F.col("x").alias("root"), F.col("root").alias("top")), "root").select("x", F.col("top").alias("root"), (F.col("top") != F.col("root")).alias("moved")))
+        nxt = up.select(F.col("x").alias("root"), F.col("root").alias("top"))
+        far = up.join(nxt, "root").select("x", F.col("root").alias("was"), F.col("top").alias("root")).join(nxt, "root")
+        jump = cut(far.select("x", F.col("top").alias("root"), (F.col("top") != F.col("was")).alias("moved")))
         moved = jump.where("moved").limit(1).count()
         up = jump.select("x", "root")
         if not moved:
@@ -179,7 +181,11 @@ def resolve(spellings: DataFrame, works: DataFrame, links: DataFrame) -> Resolve
     cands = initials.select(F.col("core").alias("x"), "stem", "lead").join(near_stem, "stem").join(
         persons.select(F.col("core").alias("y"), F.col("stem").alias("y_stem"), F.substring("lead", 1, 1).alias("lead")), ["y_stem", "lead"]
     ).select("x", "y", "d")
-    by_initial = attach(initials, cands, members)
+    short = cores.where("kind = 'short'")
+    orgs = full.where("kind = 'org'").select(F.col("core").alias("y"), F.col("stem").alias("y_stem"), "acro")
+    placed = short.where("stem <> ''").select(F.col("core").alias("x"), "stem", "acro").join(near_stem, "stem").join(orgs, ["y_stem", "acro"]).select("x", "y", "d")
+    unplaced = short.where("stem = ''").select(F.col("core").alias("x"), "acro").join(orgs, "acro").select("x", "y", F.lit(0).alias("d"))
+    by_initial = attach(initials.unionByName(short), cands.unionByName(placed).unionByName(unplaced), members)
 
     bare = cores.where("kind = 'person' AND level = 0")
     loose = by_initial.where("core = entity").join(initials.select("core", "stem"), "core").select(F.col("core").alias("y"), F.col("stem").alias("y_stem"))
@@ -187,20 +193,15 @@ def resolve(spellings: DataFrame, works: DataFrame, links: DataFrame) -> Resolve
     cands = bare.select(F.col("core").alias("x"), "stem").join(near_stem, "stem").join(targets, "y_stem").select("x", "y", "d")
     by_stem = attach(bare, cands, members.unionByName(by_initial.where("core = entity")))
 
-    short = cores.where("kind = 'short'")
-    orgs = full.where("kind = 'org'").join(cores.where("kind = 'org'").select("core"), "core", "left_semi").select(F.col("core").alias("y"), F.col("stem").alias("y_stem"), "acro")
-    placed = short.where("stem <> ''").select(F.col("core").alias("x"), "stem", "acro").join(near_stem, "stem").join(orgs, ["y_stem", "acro"]).select("x", "y", "d")
-    unplaced = short.where("stem = ''").select(F.col("core").alias("x"), "acro").join(orgs, "acro").select("x", "y", F.lit(0).alias("d"))
-    by_acronym = attach(short, placed.unionByName(unplaced), members)
-    everyone = cut(members.unionByName(by_initial).unionByName(by_stem).unionByName(by_acronym))
+    everyone = cut(members.unionByName(by_initial).unionByName(by_stem))
     return Resolved(forms, cores, everyone, seen)
 
 
 def citation_evidence(cit: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(spellings, works, links)`` of a citations table for :func:`resolve`."""
-    rows = cit.select("author", "canonical_author", title_key(F.col("title")).alias("work"))
-    rows = rows.groupBy("author", "canonical_author", "work").agg(F.count("*").alias("n"))
-    rows = cut(rows)
+    # Equal rows first, so that each distinct title is normalised once.
+    rows = cit.groupBy("author", "canonical_author", "title").agg(F.count("*").alias("n"))
+    rows = cut(rows.select("author", "canonical_author", title_key(F.col("title")).alias("work"), "n"))
     used = rows.select(F.col("author").alias("spelling"), "work", "n").unionByName(
         rows.select(F.col("canonical_author").alias("spelling"), "work", "n")
     ).where(F.col("spelling").isNotNull())
