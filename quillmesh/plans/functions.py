@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
@@ -13,10 +16,10 @@ R = Registry()
 SQ = r"trim(regexp_replace({}, '[\s\p{{Z}}]+', ' ', 'g'))"
 
 
-def _norm(name: str, expr, sql: str) -> None:
-    """``(ord, value)`` of an expression over all titles or authors."""
+def _norm(name: str, expr: Callable[[], Column], sql: str) -> None:
+    """``(ord, value)`` of an expression over all titles or authors; made late, as columns need a session."""
     query = f"WITH {CITATIONS} SELECT ord, {sql} AS value FROM cites"
-    R.add(name, query)(lambda spark, d: citations(spark, d).select("ord", expr.alias("value")))
+    R.add(name, query)(lambda spark, d: citations(spark, d).select("ord", expr().alias("value")))
 
 
 _fold = lambda c: f"replace(lower({c}), 'ß', 'ss')"
@@ -37,30 +40,30 @@ def _viewer(c: str) -> str:
     return SQ.format(f"regexp_replace(regexp_replace({t}, '[‘’]', '''', 'g'), '[“”]', '\"', 'g')")
 
 
-_norm("norm_text", X.normalize_text(F.col("title")), _fold(SQ.format("title")))
-_norm("norm_title_main", X.main_title(F.col("title")), _main)
-_norm("norm_author_accents", X.author_key(F.col("author")), _akey)
-_norm("norm_key", X.author_key(F.col("author"), saint=False), _akey0)
-_norm("norm_title_articles", X.article_title(F.col("title")), _article("title"))
-_norm("norm_title_viewer", X.viewer_title(F.col("title")), _viewer("title"))
+_norm("norm_text", lambda: X.normalize_text(F.col("title")), _fold(SQ.format("title")))
+_norm("norm_title_main", lambda: X.main_title(F.col("title")), _main)
+_norm("norm_author_accents", lambda: X.author_key(F.col("author")), _akey)
+_norm("norm_key", lambda: X.author_key(F.col("author"), saint=False), _akey0)
+_norm("norm_title_articles", lambda: X.article_title(F.col("title")), _article("title"))
+_norm("norm_title_viewer", lambda: X.viewer_title(F.col("title")), _viewer("title"))
 _norm(
-    "norm_author_viewer", X.viewer_author(F.col("author")),
+    "norm_author_viewer", lambda: X.viewer_author(F.col("author")),
     f"CASE WHEN author IS NULL OR author = '' THEN 'Unknown' WHEN contains(author, ',') THEN {SQ.format('''concat_ws(' ', trim(split_part(author, ',', 2)), trim(split_part(author, ',', 1)))''')} ELSE {SQ.format('author')} END",
 )
 _norm(
-    "norm_author_swapped", X.swapped_author(F.col("author")),
+    "norm_author_swapped", lambda: X.swapped_author(F.col("author")),
     f"CASE WHEN contains(author, ',') THEN {SQ.format('''concat_ws(' ', trim(regexp_extract(author, '^([^,]*),(.*)$', 2)), trim(regexp_extract(author, '^([^,]*),(.*)$', 1)))''')} ELSE {SQ.format('author')} END",
 )
-_norm("norm_slug", X.slug(F.col("title")), "trim(regexp_replace(lower(title), '[^a-z0-9]+', '_', 'g'), '_')")
-_norm("norm_token_sort", X.token_sort(F.col("author")), r"array_to_string(list_sort(list_filter(string_split(regexp_replace(lower(author), '[^\p{L}\p{N}_]+', ' ', 'g'), ' '), lambda w: w <> '')), ' ')")
-_norm("web_id", X.web_id(F.col("title"), F.col("cite_count")), "'web_' || substr(md5(title || cite_count::VARCHAR), 1, 8)")
-_norm("query_subtitle", X.without_subtitle(F.col("title")), "CASE " + " ".join(f"WHEN instr(title, '{m}') > 1 THEN trim(string_split(title, '{m}')[1])" for m in X.SUBTITLE_MARKS) + " END")
-_norm("query_article", X.without_article(F.col("title")), "nullif(CASE " + " ".join("WHEN starts_with(lower(title), '{0}') THEN trim(substr(title, {1}))".format(a.replace("'", "''"), len(a) + 1) for a in X.LEADING_ARTICLES) + " END, '')")
-_norm("query_last_name", X.last_name(F.col("author")), f"CASE WHEN len(string_split({SQ.format('author')}, ' ')) >= 2 THEN string_split({SQ.format('author')}, ' ')[-1] END")
-_norm("name_scores", X.name_score(F.lower(F.col("author")), F.lower(F.col("canonical_author"))), """CASE WHEN lower(author) = lower(canonical_author) THEN 3
+_norm("norm_slug", lambda: X.slug(F.col("title")), "trim(regexp_replace(lower(title), '[^a-z0-9]+', '_', 'g'), '_')")
+_norm("norm_token_sort", lambda: X.token_sort(F.col("author")), r"array_to_string(list_sort(list_filter(string_split(regexp_replace(lower(author), '[^\p{L}\p{N}_]+', ' ', 'g'), ' '), lambda w: w <> '')), ' ')")
+_norm("web_id", lambda: X.web_id(F.col("title"), F.col("cite_count")), "'web_' || substr(md5(title || cite_count::VARCHAR), 1, 8)")
+_norm("query_subtitle", lambda: X.without_subtitle(F.col("title")), "CASE " + " ".join(f"WHEN instr(title, '{m}') > 1 THEN trim(string_split(title, '{m}')[1])" for m in X.SUBTITLE_MARKS) + " END")
+_norm("query_article", lambda: X.without_article(F.col("title")), "nullif(CASE " + " ".join("WHEN starts_with(lower(title), '{0}') THEN trim(substr(title, {1}))".format(a.replace("'", "''"), len(a) + 1) for a in X.LEADING_ARTICLES) + " END, '')")
+_norm("query_last_name", lambda: X.last_name(F.col("author")), f"CASE WHEN len(string_split({SQ.format('author')}, ' ')) >= 2 THEN string_split({SQ.format('author')}, ' ')[-1] END")
+_norm("name_scores", lambda: X.name_score(F.lower(F.col("author")), F.lower(F.col("canonical_author"))), """CASE WHEN lower(author) = lower(canonical_author) THEN 3
   WHEN starts_with(lower(author), lower(canonical_author)) OR starts_with(lower(canonical_author), lower(author)) THEN 2
   WHEN contains(lower(author), lower(canonical_author)) OR contains(lower(canonical_author), lower(author)) THEN 1 ELSE 0 END""")
-_norm("real_ids", X.is_real_id(F.when(F.col("ord") % 7 == 0, F.concat(F.lit("web_"), F.col("ord").cast("string"))).otherwise(F.col("ord").cast("string"))), "ord % 7 <> 0")
+_norm("real_ids", lambda: X.is_real_id(F.when(F.col("ord") % 7 == 0, F.concat(F.lit("web_"), F.col("ord").cast("string"))).otherwise(F.col("ord").cast("string"))), "ord % 7 <> 0")
 
 
 @R.add("the_author", rf"WITH {RAW} SELECT raw_id, replace(regexp_replace(commentary, '\b[Tt]he author\b', chr(1), 'g'), chr(1), coalesce(authors[1], 'the author')) AS value FROM raw JOIN source_books USING (source_book_id)")

@@ -19,3 +19,13 @@ def test_texts_to_links(spark, tmp_path):
     assert stages["extracted"].where(F.col("status") == "failed").count() == 0
     done = spark.createDataFrame([("1",), ("2",), ("3",)], "book_id string")
     assert Engine(spark).run(texts, catalog, done=done)["links"].count() == 0
+
+
+def test_queries_are_listed_without_a_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()) >= len(e.oracle_sql()) > 90)"], cwd=root, capture_output=True, text=True, timeout=120)
+    assert out.stdout.strip() == "True", out.stderr
