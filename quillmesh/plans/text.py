@@ -52,8 +52,9 @@ def prompt_render(spark, d):
 
 @R.add("prompt_json", f"WITH {CITATIONS} SELECT ord, to_json({{'index': ord, 'author': author, 'title': title, 'count': cite_count}})::VARCHAR AS line FROM cites WHERE author IS NOT NULL AND NOT regexp_matches(author || title, '[^ -~]|[\\\\\"/]')")
 def prompt_json(spark, d):
-    c = citations(spark, d).where("author IS NOT NULL").where(~F.concat("author", "title").rlike(r'[^ -~]|[\\"/]'))
-    return c.select("ord", F.to_json(F.struct(F.col("ord").alias("index"), "author", "title", F.col("cite_count").alias("count"))).alias("line"))
+    """One line per citation; the SQL twin covers only plain ASCII lines with an author."""
+    line = F.struct(F.col("ord").alias("index"), "author", "title", F.col("cite_count").alias("count"))
+    return citations(spark, d).select("ord", F.to_json(line, {"ignoreNullFields": "false"}).alias("line"))
 
 
 # -- search ------------------------------------------------------------------------
