@@ -3,7 +3,7 @@
 import json
 from datetime import datetime
 
-from quillmesh.plans import text
+from quillmesh.plans import graph, text
 
 CITES = "cit_id bigint, source_book_id string, title string, author string, canonical_author string, cite_count int, contexts array<string>, commentaries array<string>, ingested_at timestamp"
 
@@ -22,3 +22,22 @@ def test_every_citation_has_a_json_line(spark, tmp_path):
     cited(spark, tmp_path, data)
     got = {r["ord"]: r["line"] for r in text.prompt_json(spark, str(tmp_path)).collect()}
     assert got == {i: json.dumps({"index": i, "author": a, "title": t or "", "count": 2}, ensure_ascii=False, separators=(",", ":")) for i, _, t, a in data}
+
+
+def test_every_known_life_date_counts(spark, tmp_path):
+    cited(spark, tmp_path, [(1, "s1", "A", "Known One"), (2, "s1", "B", "Known Two"), (3, "s1", "C", "Known Three"), (4, "s1", "D", "Dateless"), (5, "s2", "E", "Dateless"), (6, "s3", "F", "Alone")])
+    write(spark, tmp_path, "source_books", [("s1", ["Writer"], 1990), ("s2", ["Undated"], None), ("s3", ["Alone"], None), ("s4", ["Known Writer"], 1990)], "source_book_id string, authors array<string>, publication_year int")
+    write(spark, tmp_path, "canonical_authors", [(1, "Known One", 1900, 1980), (2, "Known Two", 1800, None), (3, "Known Three", 1700, 1750), (4, "Dateless", None, None), (5, "Known Writer", 1900, 1960)], "author_id bigint, name string, birth_year int, death_year int")
+    got = {r["name"]: (r["year"], r["how"]) for r in graph.graph_year_imputation(spark, str(tmp_path)).collect()}
+    assert got == {
+        "Known One": (1940.0, "life"), "Known Two": (1830.0, "life"), "Known Three": (1725.0, "life"), "Dateless": (1955.0, "neighbours"),
+        "Writer": (1990.0, "books"), "Undated": (2000.0, "source"), "Alone": (2000.0, "source"), "Known Writer": (1930.0, "life"),
+    }
+
+
+def test_the_median_is_left_for_who_has_no_dated_neighbour(spark, tmp_path):
+    cited(spark, tmp_path, [(1, "s1", "A", "Known One"), (2, "s0", "B", "Lost")])
+    write(spark, tmp_path, "source_books", [("s1", ["Writer"], 1990), ("s0", [None], 1500)], "source_book_id string, authors array<string>, publication_year int")
+    write(spark, tmp_path, "canonical_authors", [(1, "Known One", 1900, 1980)], "author_id bigint, name string, birth_year int, death_year int")
+    got = {r["name"]: (r["year"], r["how"]) for r in graph.graph_year_imputation(spark, str(tmp_path)).collect()}
+    assert got == {"Known One": (1940.0, "life"), "Writer": (1990.0, "books"), "Lost": (1990.0, "median")}
