@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..config import PipelineConfig
 from ..functions.text import last_name, token_sort, uncomma, without_article, without_particle, without_subtitle
+from .search import record_hits, substring_lookup
+from .tables import kept
 
 
 def _pairs(rules: list[tuple[Column, Column, Column]]) -> Column:
@@ -48,12 +50,43 @@ def expand_queries(cites: DataFrame, id_col: str = "cit_id") -> DataFrame:
     return kept.withColumn("query_no", F.row_number().over(W.partitionBy("id").orderBy("pos"))).select(F.col("id").alias(id_col), "query_no", "q_title", "q_author")
 
 
+def search_candidates(cites: DataFrame, books: DataFrame, names: DataFrame, limit: int = PipelineConfig.search_limit) -> DataFrame:
+    """``(id, mode, ord, score)``: what the search queries of each citation meet, scored.
+
+    Titled citations search the records by title and author (mode book), and
+    titles are compared; untitled ones look their author up in the names (mode
+    author).  ``cites``: ``(id, title, author, canonical_author, variants)``;
+    ``books``: ``(book_id, title, authors array<string>)``; ``names``:
+    ``(author_id, name)``; ``ord`` is the id of the record or author.  Equal
+    citations are searched and scored once.
+    """
+    blank, kind = F.lit(""), dict(books.dtypes)["book_id"]
+    key = F.struct(*[F.coalesce(c, blank).alias(c) for c in ("title", "author", "canonical_author")], F.coalesce("variants", F.array().cast("array<string>")).alias("variants"))
+    same = cites.select("id", key.alias("k"))
+    one = kept(same.groupBy("k").agg(F.min("id").alias("one")))
+    fold = lambda c: F.lower(F.trim(F.coalesce(c, blank)))
+    asked = kept(expand_queries(one.select("one", "k.*"), "one").select("one", fold("q_title").alias("q_title"), fold("q_author").alias("q_author")).distinct())
+    texts = asked.where("q_title <> ''").select("q_title", "q_author").distinct()
+    hits = record_hits(texts.withColumn("q", F.struct("q_title", "q_author")), books.select(F.col("book_id").alias("doc"), F.col("title").alias("d_title"), F.col("authors").alias("d_authors")), limit)
+    met = hits.select("q.*", F.col("doc").alias("book_id")).join(asked, ["q_title", "q_author"]).select("one", "book_id").distinct()
+    met = met.join(books.select("book_id", F.col("title").alias("found")), "book_id").select("one", F.lit("book").alias("mode"), F.col("book_id").alias("ord"), "found")
+    alone = asked.where("q_title = ''").select("one", F.col("q_author").alias("q"))
+    known = names.where("name IS NOT NULL AND author_id IS NOT NULL").distinct()
+    looked = substring_lookup(alone.select("q").distinct(), known.groupBy("name").agg(F.min("author_id").alias("ord")), limit)
+    people = alone.join(looked, "q").select("one", "name").distinct().join(known, "name").select("one", F.lit("author").alias("mode"), F.col("author_id").cast(kind).alias("ord"), F.col("name").alias("found"))
+    cited = F.when(F.trim("k.title") != "", F.col("k.title")).when(F.trim("k.author") != "", F.col("k.author")).otherwise(F.col("k.canonical_author"))
+    scored = score_expr(met.unionByName(people).join(one.select("one", cited.alias("cited")), "one"), "cited", "found")
+    # An author may be listed under several names.
+    best = kept(scored.groupBy("one", "mode", "ord").agg(F.max("score").alias("score")))
+    return same.join(one, "k").select("id", "one").join(best, "one").drop("one")
+
+
 def score_expr(df: DataFrame, a: str, b: str, out: str = "score") -> DataFrame:
     """``out``: 0..100, similarity of two texts with their words in alphabetical order."""
 
     @F.pandas_udf("int")
     def scored(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([int(100 * SequenceMatcher(None, p, q).ratio()) if p and q else 0 for p, q in zip(x, y)], dtype="int32")
+        return pd.Series([(100 if p == q else int(100 * SequenceMatcher(None, p, q).ratio())) if p and q else 0 for p, q in zip(x, y)], dtype="int32")
 
     return df.withColumn(out, scored(token_sort(F.coalesce(F.col(a), F.lit(""))), token_sort(F.coalesce(F.col(b), F.lit("")))))
 

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_accents
+from .tables import kept
 
 
 def tokens(c: Column) -> Column:
@@ -50,6 +51,41 @@ def all_words_hits(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str,
     return asked.join(words, "token").groupBy("q", "doc").agg(F.count("*").alias("have")).join(need, "q").where("have = need").select("q", "doc")
 
 
+def record_hits(queries: DataFrame, docs: DataFrame, limit: int = 5) -> DataFrame:
+    """``(q, doc)``: records that hold the title phrase and the author phrase of a query, the ``limit`` shortest records first.
+
+    A query with an author that meets nothing is asked again with the words of
+    the author one by one, but for single letters.  ``queries``: ``(q, q_title,
+    q_author)``; ``docs``: ``(doc, d_title, d_authors array<string>)``.  The rarest
+    word of both fields together is joined with the postings.
+    """
+    blank = F.lit("")
+    line = lambda c: F.concat(F.lit(" "), F.array_join(c, " "), F.lit(" "))
+    marked = lambda t, a: F.array_distinct(F.concat(F.transform(t, lambda x: F.concat(F.lit("t"), x)), F.transform(a, lambda x: F.concat(F.lit("a"), x))))
+    has_title, has_author = F.trim(F.coalesce("q_title", blank)) != "", F.trim(F.coalesce("q_author", blank)) != ""
+    q = queries.select("q", has_title.alias("ht"), has_author.alias("ha"), tokens(F.coalesce("q_title", blank)).alias("qt"), tokens(F.coalesce("q_author", blank)).alias("qa"), F.split(F.trim(F.coalesce("q_author", blank)), r"\s+").alias("w"))
+    q = q.where((~F.col("ht") | (F.size("qt") > 0)) & (F.col("ht") | F.col("ha")))
+    d = docs.select("doc", tokens(F.coalesce("d_title", blank)).alias("dt"), tokens(F.array_join("d_authors", " | ")).alias("da"))
+    d = kept(d.select("doc", marked("dt", "da").alias("words"), line("dt").alias("dt"), line("da").alias("da"), (F.size("dt") + F.size("da")).alias("len")))
+    held = d.select("doc", F.explode("words").alias("token"))
+
+    def found(asked: DataFrame) -> DataFrame:
+        """``asked``: ``(q, qt, phrases)``, each phrase a line of words of the author."""
+        names = F.flatten(F.transform("phrases", lambda p: F.filter(F.split(p, " "), lambda x: x != "")))
+        words = asked.select("q", F.explode(marked(F.col("qt"), names)).alias("token"))
+        freq = held.join(words.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count("*").alias("df"))
+        rare = words.join(freq, "token", "left").groupBy("q").agg(F.min_by(F.struct("token", "df"), F.struct(F.coalesce("df", F.lit(0)), "token")).alias("r")).where("r.df IS NOT NULL").select("q", "r.token")
+        cand = rare.join(held, "token").select("q", "doc").join(asked, "q").join(d.drop("words"), "doc")
+        whole = F.when(F.size("qt") > 0, F.col("dt").contains(line("qt"))).otherwise(True) & F.forall("phrases", lambda p: F.col("da").contains(p))
+        rank = F.row_number().over(W.partitionBy("q").orderBy("len", "doc"))
+        return cand.where(whole).withColumn("rank", rank).where(F.col("rank") <= limit).select("q", "doc")
+
+    first = kept(found(q.where(~F.col("ha") | (F.size("qa") > 0)).select("q", "qt", F.when(F.col("ha"), F.array(line("qa"))).otherwise(F.array().cast("array<string>")).alias("phrases"))))
+    parts = F.filter(F.transform(F.filter("w", lambda x: F.length(x) > 1), lambda x: line(tokens(x))), lambda p: F.trim(p) != "")
+    again = q.where(F.col("ha") & (F.size("w") > 1)).join(first.select("q"), "q", "left_anti").select("q", "qt", parts.alias("phrases")).where(F.size("phrases") > 0)
+    return first.unionByName(found(again))
+
+
 def bm25(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str, d_id: str, d_text: str, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """``(q, doc, score)`` of every document that shares a word with the query (Robertson and Zaragoza 2009)."""
     words = docs.select(F.col(d_id).alias("doc"), F.explode(tokens(F.col(d_text))).alias("token"))

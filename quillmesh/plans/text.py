@@ -136,25 +136,41 @@ def query_expansion_counts(spark, d):
     return query_expansion(spark, d).select("cit_id").distinct()
 
 
+def _authors(spark, d):
+    """Every author id with each of its names."""
+    listed = books(spark, d, "authors").select(F.explode("authors").alias("a")).select("a.author_id", "a.name")
+    return listed.unionByName(table(spark, d, "canonical_authors").select("author_id", "name")).distinct()
+
+
 def _candidates(spark, d):
-    b = books(spark, d, "title", "authors").select("book_id", F.col("title").alias("c_title"), F.col("author").alias("c_author"))
-    c = citations(spark, d).where("title <> ''").select(F.col("ord").alias("id"), "title", "author")
-    return c.join(b, c["title"] == b["c_title"])
+    b = books(spark, d, "title", "authors").select("book_id", "title", F.col("authors.name").alias("authors"))
+    c = citations(spark, d).select(F.col("ord").alias("id"), "title", "author", "canonical_author", F.array().cast("array<string>").alias("variants"))
+    return S.search_candidates(c, b, _authors(spark, d))
+
+
+def _ids(df):
+    """The id of a candidate under the kind it has."""
+    return df.withColumns({"book_id": F.when(F.col("mode") == "book", F.col("ord")), "author_id": F.when(F.col("mode") == "author", F.col("ord"))})
 
 
 @R.add("token_sort_score")
 def token_sort_score(spark, d):
-    return S.score_expr(_candidates(spark, d), "author", "c_author").select("id", "book_id", "score")
+    return _ids(_candidates(spark, d)).select("id", "book_id", "author_id", "score")
 
 
 @R.add("top5_candidates")
 def top5_candidates(spark, d):
-    return S.best_candidates(S.score_expr(_candidates(spark, d), "author", "c_author").withColumn("ord", F.col("book_id"))).select("id", "book_id", "score", "rank")
+    return _ids(S.best_candidates(_candidates(spark, d))).select("id", "book_id", "author_id", "score", "rank")
 
 
 @R.add("confidence_gate")
 def confidence_gate(spark, d):
-    return S.gate(S.score_expr(_candidates(spark, d), "author", "c_author").withColumn("ord", F.col("book_id"))).select("id", F.col("ord").alias("book_id"), "score", "decision")
+    """A decision for every citation; those without candidates get none."""
+    found = _candidates(spark, d)
+    top = S.best_candidates(found).select("id", "mode", "ord", "score")
+    modes = top.select("id", "mode").distinct()
+    decided = _ids(S.gate(top).join(modes, "id")).select("id", "book_id", "author_id", "score", "decision")
+    return citations(spark, d).select(F.col("ord").alias("id")).join(decided, "id", "left").withColumns({"score": F.coalesce("score", F.lit(0)), "decision": F.coalesce("decision", F.lit("none"))})
 
 
 @R.add("resolve_passes")

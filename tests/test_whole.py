@@ -41,3 +41,21 @@ def test_the_median_is_left_for_who_has_no_dated_neighbour(spark, tmp_path):
     write(spark, tmp_path, "canonical_authors", [(1, "Known One", 1900, 1980)], "author_id bigint, name string, birth_year int, death_year int")
     got = {r["name"]: (r["year"], r["how"]) for r in graph.graph_year_imputation(spark, str(tmp_path)).collect()}
     assert got == {"Known One": (1940.0, "life"), "Writer": (1990.0, "books"), "Lost": (1990.0, "median")}
+
+
+def test_candidates_come_from_the_search(spark, tmp_path):
+    cited(spark, tmp_path, [
+        (1, "s", "The Two Cultures: And a Second Look", "C.P. Snow"), (2, "s", "Second Sex", "Beauvoir, Simone de"), (3, "s", "", "Hannah Arendt"), (4, "s", None, "Nobody Known"),
+        (5, "s", "Poems", "Jane Q. Roe"), (6, "s", "Poems", None), (7, "s", "two cultures", "c p snow"), (8, "s", "", "Woolf"), (9, "s", "The Two Cultures: And a Second Look", "C.P. Snow"),
+    ])
+    author = lambda i, n: {"author_id": i, "name": n}
+    at = datetime(2024, 1, 1)
+    write(spark, tmp_path, "book_metadata", [(10, "The Two Cultures", [author(1, "C. P. Snow")], at), (11, "The Second Sex", [author(9, "Ed Itor"), author(2, "Simone de Beauvoir")], at), (12, "Poems", [author(3, "Roe, Jane")], at), (13, "The Two Cultures", [author(4, "Someone Else"), author(None, "Hannah Arendt")], at)],
+          "book_id bigint, title string, authors array<struct<author_id:bigint,name:string>>, ingested_at timestamp")
+    write(spark, tmp_path, "canonical_authors", [(5, "Hannah Arendt"), (6, "Virginia Woolf"), (7, "Leonard Woolf")], "author_id bigint, name string")
+    got = {(r["id"], r["book_id"], r["author_id"]) for r in text.token_sort_score(spark, str(tmp_path)).collect()}
+    assert got == {(1, 10, None), (9, 10, None), (7, 10, None), (2, 11, None), (3, None, 5), (5, 12, None), (6, 12, None), (8, None, 6), (8, None, 7)}
+    ranks = {(r["id"], r["author_id"], r["rank"]) for r in text.top5_candidates(spark, str(tmp_path)).where("id IN (3, 8)").collect()}
+    assert {r[:2] for r in ranks} == {(3, 5), (8, 6), (8, 7)} and {r[2] for r in ranks if r[0] == 8} == {1, 2}
+    gate = {r["id"]: (r["book_id"], r["author_id"], r["decision"]) for r in text.confidence_gate(spark, str(tmp_path)).collect()}
+    assert set(gate) == set(range(1, 10)) and gate[3] == (None, 5, "accepted") and gate[4] == (None, None, "none") and gate[5] == (12, None, "accepted") and gate[8][2] == "none"
