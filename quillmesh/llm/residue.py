@@ -190,7 +190,7 @@ _NEEDLES = {
         "object object", "#ref!", "#n/a", "#value!", "#name?",
         *(f"{a}{v}{b}" for v in ("undefined", "null", "nan", "none", "nil") for a, b in (
             (": ", ""), (":", ""), ("", " by"), ("", " rat"), ("", " rev"), ("", " pag"), ("", " star"), ("", " vot"),
-            ("by ", ""), ("ed ", ""), ("isbn ", ""), ("year ", ""), ("price ", ""))),
+            ("by ", ""), ("ed ", ""), ("written ", ""), ("isbn ", ""), ("year ", ""), ("price ", ""))),
     ],
     "trace": [
         "exception", "syntaxerror", "typeerror", "valueerror", "keyerror", "nameerror", "runtimeerror", "traceback", "stack trace",
@@ -204,9 +204,9 @@ _NEEDLES = {
         *(f"{t} {b}" for t in _THINGS for b in ("here", "missing", "below")),
         "tbd", "tba", "todo", "fixme", "n/a", "xxx", " folgt", "hier steht", "platzhalter", "blindtext", "mustertext", "venir",
         "à compléter", "bientôt", "le texte", "votre texte", "aquí va", "insert", "escriba", "ponga", "próximamente", "pendiente",
-        "por completar", "de relleno", "blah",
+        "por completar", "de relleno", "blah", "na", "is here", "is missing", "insérez", "insérer", "placez", "ici ", "nostrud", "laboris", "aliqua", "consequat",
     ],
-    "script": ["javascript", "java script", " script", "-script", "scripting", "scripts ", " js", "js ", "cookies", "skripte"],
+    "script": ["script", "js", "cookies", "skripte"],
     "error": [
         "error", "not found", "forbidden", "gateway", "unavailable", "not available", "bad request", "denied", "went wrong",
         "too many requests", "timed out", "time-out", "timeout", "sorry", "whoops", "oops", "maintenance", "blocked", "cannot be",
@@ -214,7 +214,7 @@ _NEEDLES = {
         "gesperrt", "fehler", "antwortet", "abgelaufen", "introuvable", "non trouvée", "refusé", "interdit", "erreur", "expiré",
         "no encontrada", "no disponible", "denegado", "prohibido", "caducado", "expirado", "fallo", "permission", "authorised", "authorized", "authorisation", "authorization",
         "reached your", "suspended", "a human", "a robot", "captcha", "puzzle", "checking", "subscribe", "sign in", "log in",
-        "register", "not offered", "status", "code:", "code 4", "code 5", "offline", "do not have access",
+        "register", "not offered", "status", "code:", "code 4", "code 5", "offline", "have access", "are human", "are robot", "refused", "gone", "moved perm", "been removed", "code",
     ],
 }
 
