@@ -6,7 +6,7 @@ import argparse
 import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import PipelineConfig
@@ -29,6 +29,11 @@ def stage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def mention_id() -> Column:
+    """Number of a mention within its text: its chunk, then its place there."""
+    return F.shiftleft(F.col("chunk_index").cast("bigint"), 32) + F.col("mention")
+
+
 class Engine:
     """Texts in, stage tables out.
 
@@ -48,8 +53,7 @@ class Engine:
         chunks = C.chunk_by_budget(sents, self.config)
         extracted = stage(C.extract(C.excerpts(sents, chunks), self.extractor))
         ok = extracted.where("status = 'ok'")
-        place = F.xxhash64("chunk_index", "title", "author", "citation_excerpt")
-        raw = ok.select(F.col("doc").alias("source_book_id"), (F.col("chunk_index").cast("bigint") * 4096 + F.pmod(place, F.lit(4096))).alias("raw_id"), "title", "author", "citation_excerpt", "commentary")
+        raw = ok.select(F.col("doc").alias("source_book_id"), mention_id().alias("raw_id"), "title", "author", "citation_excerpt", "commentary")
         own = texts.select(F.col("book_id").alias("group"), F.col("title").alias("source_title"), F.array("author").alias("source_authors"))
         cleaned = stage(P.preprocess(P.flatten(raw), aliases, own))
         if self.decider is not None:

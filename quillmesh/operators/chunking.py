@@ -93,11 +93,11 @@ def regex_extractor(excerpt: str) -> list[dict]:
 def extract(chunks: DataFrame, extractor: Extractor = regex_extractor, attempts: int = 3) -> DataFrame:
     """Extraction rows of ``(doc, chunk_index, start_sentence, end_sentence, excerpt)``.
 
-    One row per citation with ``status`` ok; a chunk whose provider fails every
+    One row per citation with ``status`` ok and ``mention``, its place in the chunk; a chunk whose provider fails every
     attempt gives one row with ``status`` failed and the error.
     """
     kind = dict(chunks.dtypes)["doc"]
-    schema = f"doc {kind}, chunk_index int, start_sentence int, end_sentence int, status string, error string, title string, author string, citation_excerpt string, commentary string"
+    schema = f"doc {kind}, chunk_index int, start_sentence int, end_sentence int, status string, error string, title string, author string, citation_excerpt string, commentary string, mention int"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cols = [c.split()[0] for c in schema.split(", ")]
@@ -112,10 +112,11 @@ def extract(chunks: DataFrame, extractor: Extractor = regex_extractor, attempts:
                     except Exception as e:  # a provider may raise anything
                         error = str(e)
                 if error is not None:
-                    rows.append((*head, "failed", error, None, None, None, None))
-                for c in got or []:
-                    rows.append((*head, "ok", None, c.get("title"), c["author"], c["citation_excerpt"], c["commentary"]))
-            yield pd.DataFrame(rows, columns=cols)
+                    rows.append((*head, "failed", error, None, None, None, None, None))
+                for no, c in enumerate(got or []):
+                    rows.append((*head, "ok", None, c.get("title"), c["author"], c["citation_excerpt"], c["commentary"], no))
+            out = pd.DataFrame(rows, columns=cols)
+            yield out.assign(mention=out["mention"].astype("Int32"))
 
     return chunks.mapInPandas(run, schema)
 
