@@ -175,12 +175,8 @@ _NOTICE = re.compile(
     r"|^[\W_]*(?:por favor,? )?(?:active|activa|habilite|permita|debe activar) (?:javascript|los scripts)|^[\W_]*su navegador\b.{0,40}(?:javascript|scripts)",
     re.I,
 )
-# Titles of people and shelf vocabulary around numbers are narration.
-_NARRATION = re.compile(
-    r"\b(?:essay|notes say|terminal|gave|metaphor|echoes|critics|curators|once needed|widow|treatise|taught|shelf mark|"
-    r"narrator|chapter on|the word|a habit|as the glossary|is a name)\b",
-    re.I,
-)
+# Fixed value: share of a part that a message which does not start it must cover; less is a clause of a sentence about something else.
+_SHARE = 0.3
 
 # Cheap literal needles of each grammar, all lower case; a part is held against
 # a grammar only if it contains one of the grammar's needles.
@@ -301,14 +297,13 @@ def _kind_of(part: str, kinds: set[str]) -> str | None:
         return "rendered"
     if "trace" in kinds and _TRACE.search(part):
         return "trace"
-    told = _NARRATION.search(part)
-    if "filler" in kinds and (_latin(part) or (not told and _FILLER.search(part))):
+    # Filler and error messages start their part by their grammars.
+    if "filler" in kinds and (_latin(part) or _FILLER.search(part)):
         return "filler"
-    if not told:
-        if "script" in kinds and _NOTICE.search(part):
-            return "script"
-        if "error" in kinds and _ERROR.search(part):
-            return "error"
+    if "script" in kinds and any(not re.search(r"\w", part[: m.start()]) or m.end() - m.start() >= _SHARE * len(part) for m in _NOTICE.finditer(part)):
+        return "script"
+    if "error" in kinds and _ERROR.search(part):
+        return "error"
     return None
 
 
