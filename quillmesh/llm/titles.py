@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import unicodedata
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -35,17 +34,14 @@ def title_key(c: Column) -> Column:
 
     Null where nothing is left, so that blank titles are no evidence.
     """
-    t = plain(c)
-    has = lambda *parts: reduce(lambda x, y: x | y, [t.contains(p) for p in parts])
-    # Each pattern runs only where a cheap literal test lets it.
-    t = F.when(has("(", "[", "{"), F.regexp_replace(t, r"[\(\[\{][^\)\]\}]*[\)\]\}]", " ")).otherwise(t)
-    t = F.when(has(": ", "; ", "- ", "– ", "— "), F.regexp_replace(t, r"(?:\s+[-–—]+\s+|\s*[:;]\s+).*$", "")).otherwise(t)
+    # Every step names the one before it once: the tree grows by a node a step.
+    t = F.regexp_replace(plain(c), r"[\(\[\{][^\)\]\}]*[\)\]\}]", " ")
+    t = F.regexp_replace(t, r"(?:\s+[-–—]+\s+|\s*[:;]\s+).*$", "")
     t = F.regexp_replace(t, r"[\p{Z}\s]+", " ")
     t = F.replace(t, F.lit("&"), F.lit(" and "))
     # Edition and volume remarks, "etc."
     remark = r"[ ,]+(?:(?:new|rev\.?|revised|first|second|third|[0-9]+(?:st|nd|rd|th))? ?(?:ed\.|edn\.?|edition)|vol\.? ?[0-9ivx]+|volume [0-9ivx]+|etc\.?)[^a-z0-9]*$"
-    t = F.when(has(" ed", " vol", " etc"), F.regexp_replace(t, remark, "")).otherwise(t)
-    t = F.when(has(", "), F.regexp_replace(t, rf"^[^a-z0-9]*(.*?),\s*(?:{ARTICLES})[^a-z0-9]*$", "$1")).otherwise(t)
+    t = F.regexp_replace(t, remark, "")
+    t = F.regexp_replace(t, rf"^[^a-z0-9]*(.*?),\s*(?:{ARTICLES})[^a-z0-9]*$", "$1")
     t = F.regexp_replace(t, r"[^\p{L}\p{N}]+", " ")
-    t = F.trim(F.regexp_replace(t, rf"^ ?(?:{ARTICLES}) ", ""))
-    return F.when(t != "", t)
+    return F.nullif(F.trim(F.regexp_replace(t, rf"^ ?(?:{ARTICLES}) ", "")), F.lit(""))
