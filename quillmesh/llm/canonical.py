@@ -1,9 +1,9 @@
 """Problem 5: freely typed values mapped to a reference list.
 
-The stems of the reference entries form BK-trees under the Levenshtein distance,
-one per block of entries; blocks go to all tasks, and for a query the triangle
+The stems, given names and initials of the reference entries form BK-trees under
+the Levenshtein distance, sharded by blocks of entries; for a query the triangle
 inequality leaves out every subtree that cannot hold an entry within the
-threshold.  Each distinct typed stem visits every block and the hits merge.
+threshold.  Each distinct typed string visits every block and the hits merge.
 
 Which of the entries in reach is meant, if any, is decided per entity: typed
 values are first linked with one another (:mod:`variants`), so that a person
@@ -21,13 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import Stages
 from .titles import title_key
 from .triejoin import reach
 from .variants import citation_evidence, parse_spellings, resolve
 
-#: Entries of the reference list in one tree.
-BLOCK = 50_000
+#: Entries of the reference list in one tree, and queries that visit one copy of it.
+BLOCK = 20_000
+QUERIES = 50_000
 
 
 def distance(a: str, b: str) -> int:
@@ -127,33 +128,47 @@ class BKTree:
         return out
 
 
-def stems_in_reach(queries: DataFrame, col: str, entries: DataFrame, entry_col: str) -> DataFrame:
-    """``(stem, entry_stem, d)``: entry stems within :func:`reach` of each distinct stem."""
-    spark = queries.sparkSession
-    asked = cut(queries.select(F.col(col).alias("stem")).where(F.col("stem") != "").distinct())
-    found = None
+def in_reach(queries: DataFrame, entries: DataFrame) -> DataFrame:
+    """``(space, q, s, d)``: entries ``s`` within :func:`reach` of each query ``q`` of the same space.
 
-    def visit(block: list[str]) -> DataFrame:
-        shared = spark.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            tree = BKTree(shared.value)
-            for pdf in batches:
-                rows = tree.within(list(pdf["stem"]), reach)
-                yield pd.DataFrame(rows, columns=["stem", "entry_stem", "d"])
-
-        return asked.mapInPandas(run, "stem string, entry_stem string, d int")
-
-    block: list[str] = []
-    for row in entries.select(entry_col).where(F.col(entry_col) != "").distinct().toLocalIterator():
-        block.append(row[0])
-        if len(block) == BLOCK:
-            part = visit(block)
-            found, block = (part if found is None else found.unionByName(part)), []
-    if block or found is None:
-        part = visit(block)
-        found = part if found is None else found.unionByName(part)
-    return found
+    Both tables: ``(space, s)``; strings of the space ``acronym`` meet only their
+    equals.  Blocks of entries and blocks of queries form a grid, each part of
+    which builds one tree.
+    """
+    rows = entries.where("s <> ''").distinct().withColumn("role", F.lit(0)).unionByName(queries.where("s <> ''").distinct().withColumn("role", F.lit(1)))
+    sizes = rows.groupBy("space").agg(
+        F.ceil(F.count_if(F.col("role") == 0) / BLOCK).cast("int").alias("parts"), F.ceil(F.count_if(F.col("role") == 1) / QUERIES).cast("int").alias("qs")
+    ).where("parts > 0 AND qs > 0")
+    mine = lambda n: F.array(F.pmod(F.xxhash64("s"), F.col(n)).cast("int"))
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    entry = F.col("role") == 0
+    placed = rows.join(F.broadcast(sizes), "space")  # one row a space, three in all
+    placed = placed.withColumn("part", F.explode(F.when(entry, mine("parts")).otherwise(every("parts"))))
+    placed = placed.withColumn("block", F.explode(F.when(entry, every("qs")).otherwise(mine("qs")))).select("space", "part", "block", "role", "s")
+
+    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, tree = None, BKTree()
+        for pdf in batches:
+            found: list[tuple] = []
+            for key, g in pdf.groupby(["space", "part", "block"], sort=False):
+                if key != at:
+                    at, tree = key, BKTree()
+                for s in g["s"][g["role"] == 0]:
+                    tree.add(s)
+                radius = (lambda n: 0) if key[0] == "acronym" else reach
+                found += [(key[0], *hit) for hit in tree.within(list(g["s"][g["role"] == 1]), radius)]
+            yield pd.DataFrame(found, columns=["space", "q", "s", "d"])
+
+    ordered = placed.repartition("space", "part", "block").sortWithinPartitions("space", "part", "block", "role")
+    return ordered.mapInPandas(visit, "space string, q string, s string, d int")
+
+
+def _strings(df: DataFrame, stem: str, lead: str, level: str, acros) -> DataFrame:
+    """``(space, s)`` of parsed names: stems, full given names, acronyms."""
+    one = lambda space, c: F.struct(F.lit(space).alias("space"), c.alias("s"))
+    plain = F.array(one("stem", F.col(stem)), one("lead", F.when(F.col(level) == 2, F.col(lead))))
+    letters = F.transform(F.coalesce(acros, F.array().cast("array<string>")), lambda a: one("acronym", a))
+    return df.select(F.explode(F.concat(plain, letters)).alias("x")).select("x.*").where("s IS NOT NULL")
 
 
 def map_to_list(cit: DataFrame, refs: DataFrame, id_col: str = "cit_id", ref_id: str = "author_id", ref_name: str = "name") -> tuple[DataFrame, DataFrame]:
@@ -167,59 +182,57 @@ def map_to_list(cit: DataFrame, refs: DataFrame, id_col: str = "cit_id", ref_id:
     entries with null names are ignored; entries with one and the same name are
     both denoted.
     """
-    res = resolve(*citation_evidence(cit))
-    names = parse_spellings(refs, ref_name).select("spelling", "kind", "stem", "lead", "level", "acro")
-    entries = refs.where(F.col(ref_name).isNotNull()).select(F.col(ref_id).alias("ref"), F.col(ref_name).alias("spelling")).distinct().join(names, "spelling").select(
-        "ref", F.col("kind").alias("r_kind"), F.col("stem").alias("entry_stem"), F.col("lead").alias("r_lead"), F.col("acro").alias("r_acro")
-    )
-    entries = cut(entries)
-    near = stems_in_reach(res.cores, "stem", entries, "entry_stem")
-    hits = cut(res.cores.join(near, "stem").join(entries, "entry_stem"))
+    st = Stages(cit.sparkSession)
+    res = resolve(st, *citation_evidence(st, cit))
+    parsed = parse_spellings(refs, ref_name).select("spelling", "kind", "stem", "lead", "level", F.when(F.col("kind") == "org", F.split("acro", " ")).alias("acros"))
+    entries = st.cut(refs.where(F.col(ref_name).isNotNull()).select(F.col(ref_id).alias("ref"), F.col(ref_name).alias("spelling")).distinct().join(parsed, "spelling").select(
+        "ref", F.col("kind").alias("r_kind"), F.col("stem").alias("r_stem"), F.col("lead").alias("r_lead"), F.col("level").alias("r_level"), "acros"
+    ))
+    typed = _strings(res.cores, "stem", "lead", "level", F.when(F.col("kind") == "short", F.array("acro")))
+    near = st.cut(in_reach(typed, _strings(entries, "r_stem", "r_lead", "r_level", F.col("acros"))))
+    of = lambda space, q, s, d: near.where(F.col("space") == space).select(F.col("q").alias(q), F.col("s").alias(s), F.col("d").alias(d))
+    hits = st.cut(res.cores.where("kind <> 'short'").join(of("stem", "stem", "r_stem", "ds"), "stem").join(entries.drop("acros"), "r_stem").where("kind = r_kind"))
     # -- entities with a full name -------------------------------------------
-    most = F.when(F.least(F.length("lead"), F.length("r_lead")) < 5, 1).otherwise(2)
-    full = hits.where("level = 2 AND kind = r_kind").withColumn("dl", F.levenshtein("lead", "r_lead")).where(F.col("dl") <= most)
-    full = full.join(res.members, "core").select("core", "entity", "ref", "shapes", "rows", "n_works", (F.col("d") + F.col("dl")).alias("d"))
-    per = full.groupBy("entity", "ref").agg(F.min("d").alias("d"), F.max(F.struct("shapes", "rows")).alias("support"))
+    full = hits.where("level = 2").join(of("lead", "lead", "r_lead", "dl"), ["lead", "r_lead"])
+    full = full.join(res.members, "core").select("core", "entity", "ref", "shapes", "rows", (F.col("ds") + F.col("dl")).alias("d"))
     w = W.partitionBy("entity")
-    per = per.withColumn("least", F.min("d").over(w))
-    exact = per.where("d = 0")
+    per = full.groupBy("entity", "ref").agg(F.min("d").alias("d"), F.max(F.struct("shapes", "rows")).alias("support")).withColumn("least", F.min("d").over(w))
     # Among several entries met exactly the entity stands for the one with most support.
-    exact = exact.withColumn("top", F.max("support").over(w)).where(F.col("support") == F.col("top")).select("entity", "ref")
+    exact = per.where("d = 0").withColumn("top", F.max("support").over(w)).where(F.col("support") == F.col("top")).select("entity", "ref")
     # Without an exact form: only a name seen in one shape, for an entry nobody writes exactly.
-    taken = exact.select("ref").distinct()
     shapes = res.cores.where("level = 2").join(res.members, "core").groupBy("entity").agg(F.max("shapes").alias("most_shapes"))
     loose = per.where("least > 0 AND least <= 2 AND d = least").withColumn("n", F.count("*").over(w)).where("n = 1")
-    loose = loose.join(shapes, "entity").where("most_shapes = 1").join(taken, "ref", "left_anti").select("entity", "ref")
-    denotes = cut(exact.unionByName(loose).distinct())
-    # -- records --------------------------------------------------------------
-    said = cit.select(F.col(id_col).alias("id"), F.col("author").alias("spelling"), "title")
-    rows = cut(said.select("id", "spelling").distinct().join(res.forms.select("spelling", "core"), "spelling").select("id", "core"))
+    loose = loose.join(shapes, "entity").where("most_shapes = 1").join(exact.select("ref").distinct(), "ref", "left_anti").select("entity", "ref")
+    denotes = st.cut(exact.unionByName(loose).distinct())
+    # -- cores ----------------------------------------------------------------
     belongs = res.members.join(denotes, "entity", "left")
-    share = belongs.groupBy("core").agg(F.countDistinct("entity").alias("n_entities"))
-    belongs = cut(belongs.join(share, "core"))
-    clear = belongs.where("n_entities = 1 AND ref IS NOT NULL").select("core", "ref")
-    # A short form of several people: the cited work tells who is meant.
-    shared = belongs.where("n_entities > 1").select("core", "entity", "ref")
-    unsure = res.forms.select("spelling", "core").join(shared.select("core").distinct(), "core")
-    told = said.join(unsure, "spelling").select("id", "core", title_key(F.col("title")).alias("work")).distinct()
-    cited = res.seen.join(res.cores.where("level = 2").select("core"), "core").join(res.members, "core").select("entity", "work").distinct()
-    by_work = told.join(shared, "core").join(cited, ["entity", "work"]).where("ref IS NOT NULL").select("id", "ref")
+    # Members of one entity, and those of several only some of which are listed.
+    share = belongs.groupBy("core").agg(F.countDistinct("entity").alias("n_entities"), F.count("ref").alias("refs")).where("refs > 0")
+    belongs = st.cut(belongs.join(share, "core").where("ref IS NOT NULL").select("core", "entity", "ref", "n_entities"))
+    clear = belongs.where("n_entities = 1").select("core", "ref")
     # A short form of nobody who is written out: the only entry that fits.
-    alone = res.members.where("core = entity").join(res.cores.where("level < 2"), "core").select("core", "kind")
-    fits = hits.where("d = 0 AND level < 2").join(alone.select("core"), "core", "left_semi").where(
-        "(kind = 'person' AND r_kind = 'person' AND (lead = '' OR lead = substring(r_lead, 1, 1))) OR (kind = 'short' AND acro = r_acro)"
-    )
-    acronyms = res.cores.where("kind = 'short' AND stem = ''").join(alone.select("core"), "core", "left_semi").join(
-        entries.where("r_kind = 'org'"), F.col("acro") == F.col("r_acro")
-    ).select("core", "ref")
-    fits = fits.select("core", "ref", "stem").distinct()
+    alone = res.members.where("core = entity").select("core").join(res.cores.where("level < 2"), "core")
+    fits = hits.where("ds = 0 AND level < 2 AND kind = 'person' AND (lead = '' OR lead = substring(r_lead, 1, 1))").select("core", "ref", "stem").join(alone.select("core"), "core", "left_semi")
     # People of that name who are written out and are not the entry speak against it.
     rivals = res.cores.where("level = 2 AND kind = 'person'").join(res.members, "core").join(denotes, "entity", "left_anti").select("stem").distinct()
-    fits = fits.join(rivals, "stem", "left_anti").select("core", "ref").unionByName(acronyms).distinct()
+    fits = fits.join(rivals, "stem", "left_anti").select("core", "ref")
+    letters = alone.where("kind = 'short'").join(of("acronym", "acro", "letters", "da"), "acro").join(
+        entries.select("ref", "r_stem", F.explode("acros").alias("letters")), "letters"
+    ).join(of("stem", "stem", "r_stem", "ds"), ["stem", "r_stem"], "left").where("stem = '' OR ds IS NOT NULL").select("core", "ref")
+    fits = fits.unionByName(letters).distinct()
     only = fits.withColumn("n", F.count("*").over(W.partitionBy("core"))).where("n = 1").select("core", "ref")
-    by_core = rows.join(clear.unionByName(only), "core").select("id", "ref")
-    matches = cut(by_core.unionByName(by_work).distinct())
-    typed = cit.select(F.col(id_col).alias("id"), "author").distinct()
-    meant = typed.join(matches.select("id").distinct(), "id", "left_semi").select(F.col("author").alias("m")).distinct()
-    unmatched = typed.groupBy("author").agg(F.count("*").alias("n")).join(meant, F.col("author").eqNullSafe(F.col("m")), "left_anti")
+    by_core = res.forms.select("spelling", "core").join(clear.unionByName(only), "core").select("spelling", "ref")
+    # -- records ----------------------------------------------------------------
+    said = cit.select(F.col(id_col).alias("id"), F.col("author").alias("spelling"), "title")
+    plain = said.select("id", "spelling").join(by_core, "spelling").select("id", "ref")
+    # A short form of several people: the cited work tells who is meant.
+    unsure = belongs.where("n_entities > 1")
+    cited = res.seen.join(res.cores.where("level = 2").select("core"), "core").join(res.members, "core").select("entity", "work").distinct().join(unsure, "entity").select("core", "work", "ref").distinct()
+    told = said.join(res.forms.select("spelling", "core").join(unsure.select("core").distinct(), "core", "left_semi"), "spelling")
+    by_work = told.select("id", "core", title_key(F.col("title")).alias("work")).join(cited, ["core", "work"]).select("id", "ref")
+    matches = st.cut(plain.unionByName(by_work).distinct())
+    st.clear(keep=matches)
+    given = cit.select(F.col(id_col).alias("id"), "author").distinct()
+    meant = given.join(matches.select("id").distinct(), "id", "left_semi").select(F.col("author").alias("m")).distinct()
+    unmatched = given.groupBy("author").agg(F.count("*").alias("n")).join(meant, F.col("author").eqNullSafe(F.col("m")), "left_anti")
     return matches.select(F.col("id").alias(id_col), F.col("ref").alias(ref_id)), unmatched

@@ -2,8 +2,9 @@
 
 ``parse_name`` gives a :class:`Name` with a *stem* (the surname of a person, the
 distinguishing word of an organisation) and a *lead* (given name, or type and
-topics).  Word order that the form does not settle ("Cojal Viggo") is left open;
-:mod:`variants` settles it from the corpus.
+topics).  What the form does not settle is left open and settled from the corpus
+by :mod:`variants`: the word order ("Cojal Viggo"), whether capitals are an
+acronym, and which given names are short for one another.
 """
 
 from __future__ import annotations
@@ -26,28 +27,6 @@ NOBODY = frozenset(
 HONORIFICS = frozenset("sir dame lord lady dr doctor prof professor mr mrs ms miss mx rev reverend fr hon judge capt captain col gen st saint herr frau mme mlle don dona".split())
 SUFFIXES = frozenset("jr sr esq esquire phd md ma ba msc dphil ii iii iv ed eds editor editors trans transl translator obe cbe kbe mbe frs".split())
 PARTICLES = frozenset("van der den de la le di da du del della dello dei von zu zum zur al el ter ten bin ibn ap af av dos das do los las".split())
-#: Short forms of given names.
-NICKNAMES = {
-    short: full
-    for full, shorts in {
-        "abigail": "abby gail", "alexander": "alex sandy alec alick xander alexr", "ambrose": "brose", "andre": "andy", "anthony": "tony ant anth anty toni tonio",
-        "aurelio": "lio", "beatrix": "bea trixie trix bee", "benjamin": "ben benny benj benjn", "bertille": "berthe", "casimir": "cas caz casi",
-        "charles": "charlie chas chuck charley chaz", "clement": "clem", "constance": "connie", "corin": "corey", "delphine": "della",
-        "dorothy": "dolly dot dottie dora dorry", "drusilla": "dru silla", "edward": "ed eddie ned ted teddy edw edwd", "eleanor": "ellie nell nora nellie elnr",
-        "elizabeth": "liz lizzie beth betty eliza bess betsy libby elspeth lisbeth eliz elizth lizbeth lise liesl ilse", "esteban": "steve", "evander": "evan", "fiorella": "fio",
-        "francisco": "paco pancho frank cisco", "frederick": "fred freddie fredk fredc fritz", "gaspard": "gasp", "giovanni": "gianni vanni", "gideon": "gid", "gregory": "greg gregy",
-        "griselda": "grizel", "hedvig": "hedy", "henriette": "hettie etta henny jette hetty", "hilda": "hildy", "horatio": "horace ray", "ignace": "iggy", "isabella": "bella izzy isa belle isab",
-        "james": "jim jimmy jamie jas jem", "johannes": "hans jan joh johs hannes", "john": "jack jno johnny jon", "jonathan": "jon", "joseph": "joe joey jos josh sepp pepe beppe", "katherine": "kate kathy kitty kit kath kay cathy katie",
-        "kerstin": "kersti", "laszlo": "laci", "leonard": "len lenny leo", "leontine": "leonie", "lucian": "luc", "ludmila": "mila", "margaret": "peggy meg maggie madge greta daisy marge margie peg margt gretchen gretel",
-        "mary": "polly molly may mae mamie minnie", "maximilian": "max", "michael": "mike mick mickey", "mirela": "mira", "nathaniel": "nat nate nathan nathl", "nicholas": "nick",
-        "nikolai": "kolya nik", "odile": "odie", "percival": "percy perce percl", "petra": "petie", "philippa": "pippa pip phil", "piers": "pierce", "quirin": "quin", "rebecca": "becky becca reba", "renata": "rena",
-        "richard": "dick rick richie rich richd", "robert": "bob rob bobby robbie bert robt", "rosalind": "roz rosie ros", "samuel": "sam sammy saml", "silvan": "sil", "stephen": "steve",
-        "susannah": "sue susie suky susan sukey", "tamsin": "tammy", "theodore": "theo teddy tad theod", "theodora": "dora", "teodora": "teo", "thomas": "tom tommy thos", "umberta": "berta", "ursin": "urs",
-        "valerian": "val", "vesna": "ves", "victoria": "vicky tori vic vicki toria", "viggo": "vig", "walburga": "wally", "wilhelmina": "mina minnie willa wilma billie",
-        "william": "bill will billy willy wm liam willie wim willem", "yannis": "yanni", "zinaida": "zina", "zoltan": "zoli",
-    }.items()
-    for short in shorts.split()
-}
 ORG_TYPES = {
     short: full
     for full, shorts in {
@@ -65,69 +44,66 @@ _TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 _SPACE = re.compile(r"[\s​﻿]+")
 
 
-_GIVEN = frozenset(NICKNAMES) | frozenset(NICKNAMES.values())
-
-
-_SOUND = (("ee", "i"), ("ph", "f"), ("kw", "qu"), ("ck", "k"), ("tsch", "ch"), ("sch", "sh"))
+#: Letter groups that are heard alike.
+SOUND = (("ee", "i"), ("ph", "f"), ("kw", "qu"), ("ck", "k"), ("tsch", "ch"), ("sch", "sh"))
 _TWICE = re.compile(r"(.)\1+")
 
 
 def sound(stem: str) -> str:
     """A surname with letter groups that are heard alike written alike."""
-    for group, alike in _SOUND:
+    for group, alike in SOUND:
         stem = stem.replace(group, alike)
     return _TWICE.sub(r"\1", stem)
 
 
 class Name(NamedTuple):
-    kind: str  # none, person, org, short (an acronym of an organisation)
+    kind: str  # none, person, org
     stem: str  # surname, or the word that sets an organisation apart
     lead: str  # given name or initial, or type and topics
-    level: int  # 2 full lead, 1 initial or acronym, 0 no lead
-    other: str  # with an open order: the first token, which may be the stem
+    level: int  # 2 full lead, 1 initial, 0 no lead
+    ostem: str  # stem and lead of the other reading, if the word order is open
+    olead: str
     shape: str  # folded spelling without punctuation
+    acro: str  # letters that may be an organisation's initials; of an organisation the initials it may have
+    place: str  # word beside such letters
 
 
-NONE = Name("none", "", "", 0, "", "")
-
-
-def given(token: str) -> str:
-    return NICKNAMES.get(token, token)
+NONE = Name("none", "", "", 0, "", "", "", "", "")
 
 
 def _plain(token: str) -> str:
     return token.replace("'", "").replace("’", "")
 
 
-def _org(tokens: list[str]) -> Name | None:
+def _org(tokens: list[str], shape: str) -> Name | None:
     """Tokens of an organisation's name, type first."""
     at = next((i for i, t in enumerate(tokens) if t in ORG_TYPES), None)
     if at is None:
         return None
-    rest = [t for t in tokens[at + 1:] if t not in _ORG_LINK]
+    named = tokens[at:]
+    rest = [t for t in named[1:] if t not in _ORG_LINK]
     if len(rest) < 2:
         return None
-    return Name("org", rest[0], " ".join([ORG_TYPES[tokens[at]], *[t for t in rest[1:] if t != "and"]]), 2, "", "")
+    # Initials with and without the linking words.
+    initials = {"".join(t[0] for t in named), "".join(t[0] for t in named if t not in _ORG_LINK and t != "and")}
+    return Name("org", rest[0], " ".join([ORG_TYPES[named[0]], *[t for t in rest[1:] if t != "and"]]), 2, "", "", shape, " ".join(sorted(initials)), "")
 
 
-def acronym(stem: str, lead: str) -> str:
-    """Initials of a full organisation's name, link words left out."""
-    words = lead.split()
-    return "".join(w[0] for w in [words[0], stem, *words[1:]] if w) if words else ""
+#: Letters of an acronym: any run of capitals of this length.  Whether it stands for an
+#: organisation is settled by the organisations that the corpus writes out.
+_ACRONYM = re.compile(r"([A-Z]{3,12})(?:,?\s+\(?([^\W\d_][^()\s,]*)\)?)?")
 
 
-def bare_acronym(letters: str) -> str:
-    """An acronym as typed, its link words left out: ``AODDAK`` -> ``addk``.
-
-    The second letter stands for of, for or on and the last but one for and.
-    """
-    low = letters.lower()
-    if len(low) >= 5 and low[1] in "of" and low[-2] == "a":
-        return low[0] + low[2:-2] + low[-1]
-    return low
+def _letters(text: str) -> tuple[str, str]:
+    """(letters, place) where ``text`` is a run of capitals, maybe beside one word that isn't."""
+    m = _ACRONYM.fullmatch(text)
+    if not m or m.group(2) and (m.group(2).isupper() or not m.group(2)[0].isupper()):
+        return "", ""
+    return m.group(1).lower(), _plain(fold(m.group(2) or ""))
 
 
 def parse_name(raw: str | None) -> Name:
+    """The parts of a typed name; kind ``none`` for values that name nobody."""
     if raw is None:
         return NONE
     text = _SPACE.sub(" ", raw.replace("\xa0", " ")).strip(" \"“”„«»'‘’")
@@ -135,13 +111,8 @@ def parse_name(raw: str | None) -> Name:
     shape = " ".join(_TOKEN.findall(low))
     if not shape or shape in NOBODY or not any(c.isalpha() for c in shape):
         return NONE
-    # Remarks in brackets: "(ed.)", "(Research Dept.)"; a place after an acronym stays.
-    m = re.fullmatch(r"([A-Z]{4,9})(?:,?\s+\(?([^()\s]+)\)?)?", text)
-    if m and (m.group(2) is None or m.group(2)[0].isupper() and not m.group(2).isupper()):
-        letters, place = m.group(1), m.group(2)
-        looks = letters[1] in "OF" and letters[-2] == "A"
-        if looks and (place or len(letters) <= 7):
-            return Name("short", _plain(fold(place)) if place else "", bare_acronym(letters), 1, _plain(fold(letters)), shape)
+    acro, place = _letters(text)
+    # Remarks in brackets: "(ed.)", "(Research Dept.)".
     low = re.sub(r"[(\[][^)\]]*[)\]]", " ", low)
     # The place of an organisation first: "... and Sleep, League of".
     parts = [p.strip() for p in low.split(",")]
@@ -156,9 +127,9 @@ def parse_name(raw: str | None) -> Name:
         ordered = tokens_by_part
         if len(parts) == 2 and not any(t in ORG_TYPES for t in tokens_by_part[0]):
             ordered = [tokens_by_part[1], tokens_by_part[0]]
-        org = _org([t for p in ordered for t in p if t not in ("est",)])
+        org = _org([t for p in ordered for t in p if t != "est"], shape)
         if org is not None:
-            return org._replace(shape=shape)
+            return org
 
     def clean(tokens: list[str]) -> list[str]:
         while len(tokens) > 1 and tokens[0] in HONORIFICS:
@@ -167,19 +138,18 @@ def parse_name(raw: str | None) -> Name:
             tokens = tokens[:-1]
         return tokens
 
-    def person(stem: list[str], lead: list[str], other: str = "") -> Name:
+    def person(stem: list[str], lead: list[str], other: list[str] | None = None) -> Name:
         s = "".join(stem)
         if not s:
             return NONE
-        lead = [t for t in lead if t not in PARTICLES]
-        first = lead[0] if lead else ""
+        first = next((t for t in lead if t not in PARTICLES), "")
         level = 0 if not first else 1 if len(first) == 1 else 2
-        return Name("person", s, given(first) if level == 2 else first, level, other, shape)
+        o = other if other and level == 2 and len(other[1]) > 1 else ["", ""]
+        return Name("person", sound(s), first, level, sound(o[0]), o[1], shape, acro, place)
 
     if len(parts) >= 2:
         stem = [t for t in clean(tokens_by_part[0]) if t not in PARTICLES]
         lead = clean([t for p in tokens_by_part[1:] for t in p])
-        # "Chomsky N., Noam" never occurs; a one-letter stem is a swapped form.
         if stem and len(stem[-1]) > 1:
             return person(stem[-1:], lead)
     tokens = clean(flat)
@@ -187,8 +157,7 @@ def parse_name(raw: str | None) -> Name:
         return NONE
     particle = [i for i, t in enumerate(tokens) if t in PARTICLES and 0 <= i < len(tokens) - 1]
     if particle and particle[0] > 0:
-        stem_at = particle[-1] + 1
-        return person([tokens[stem_at]], tokens[: particle[0]])
+        return person([tokens[particle[-1] + 1]], tokens[: particle[0]])
     if particle:  # the surname comes first
         rest = tokens[particle[-1] + 1:] if particle == list(range(len(particle))) else tokens[1:]
         rest = [t for t in rest if t not in PARTICLES]
@@ -201,8 +170,4 @@ def parse_name(raw: str | None) -> Name:
         return NONE
     if len(tokens[0]) == 1:
         return person(tokens[-1:], tokens[:-1])
-    if tokens[-1] in _GIVEN and tokens[0] not in _GIVEN:  # "Kanis Edw."
-        return person(tokens[:1], tokens[1:][::-1])
-    if tokens[0] in _GIVEN and tokens[-1] not in _GIVEN:
-        return person(tokens[-1:], tokens[:-1])
-    return person(tokens[-1:], tokens[:-1], other=tokens[0])
+    return person(tokens[-1:], tokens[:-1], other=[tokens[0], tokens[1]])

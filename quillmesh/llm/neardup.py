@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blank, cut
+from .common import Stages, blank, cut
 
 THETA = 0.75
 #: Records of one author in one book that are compared directly at most.
