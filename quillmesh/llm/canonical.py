@@ -183,8 +183,9 @@ def map_to_list(cit: DataFrame, refs: DataFrame, id_col: str = "cit_id", ref_id:
     both denoted.
     """
     st = Stages(cit.sparkSession)
-    res = resolve(st, *citation_evidence(st, cit))
-    parsed = parse_spellings(refs, ref_name).select("spelling", "kind", "stem", "lead", "level", F.when(F.col("kind") == "org", F.split("acro", " ")).alias("acros"))
+    listed = st.cut(parse_spellings(refs, ref_name))
+    res = resolve(st, *citation_evidence(st, cit), listed)
+    parsed = listed.select("spelling", "kind", "stem", "lead", "level", F.when(F.col("kind") == "org", F.split("acro", " ")).alias("acros"))
     entries = st.cut(refs.where(F.col(ref_name).isNotNull()).select(F.col(ref_id).alias("ref"), F.col(ref_name).alias("spelling")).distinct().join(parsed, "spelling").select(
         "ref", F.col("kind").alias("r_kind"), F.col("stem").alias("r_stem"), F.col("lead").alias("r_lead"), F.col("level").alias("r_level"), "acros"
     ))

@@ -32,6 +32,10 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Stage tables follow the corpus in size, so none is broadcast unless a hint says that it is bounded.
+_BROADCAST = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 class Stages:
     """Tables written to the shared folder by one operator.
 
@@ -47,7 +51,17 @@ class Stages:
         """``df`` as a written table."""
         self.made += 1
         path = f"{self.root}/{self.made}"
-        df.write.option("compression", "zstd").parquet(path)
+        was = {k: self.spark.conf.get(k, None) for k in _BROADCAST}
+        try:
+            for k in _BROADCAST:
+                self.spark.conf.set(k, "-1")
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            for k, v in was.items():
+                if v is None:
+                    self.spark.conf.unset(k)
+                else:
+                    self.spark.conf.set(k, v)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._stage_path = path
         return out

@@ -67,8 +67,11 @@ def sounded(c: Column) -> Column:
     return F.regexp_replace(c, r"(.)\1+", "$1")
 
 
-def settle(forms: DataFrame, near: DataFrame) -> DataFrame:
-    """Forms with their word order and kind settled: ``spelling, kind, stem, lead, level, shape, acro``."""
+def settle(forms: DataFrame, near: DataFrame, listed: DataFrame) -> DataFrame:
+    """Forms with their word order and kind settled: ``spelling, kind, stem, lead, level, shape, acro``.
+
+    ``listed``: parsed names that count as written out besides the forms.
+    """
     full = forms.where("kind = 'person' AND level = 2").withColumns({"lead": sounded(F.col("lead")), "olead": sounded(F.col("olead"))})
     # How often a word is a surname or a given name; forms of one reading count threefold.
     sure = F.when(F.col("ostem") == "", 3).otherwise(1)
@@ -80,7 +83,7 @@ def settle(forms: DataFrame, near: DataFrame) -> DataFrame:
     pick = lambda i: F.coalesce(F.max(F.when(F.col("i") == i, F.col("odds"))), F.lit(1.0))
     swap = asked.join(smooth, "a", "left").groupBy("spelling").agg((pick(2) / pick(3) > 2 * pick(0) / pick(1)).alias("swap")).where("swap").select("spelling", "swap")
     # Acronyms of organisations that are written out, near the place if one is named.
-    orgs = forms.where("kind = 'org'").select("stem", F.explode(F.split("acro", " ")).alias("acro")).distinct()
+    orgs = forms.unionByName(listed).where("kind = 'org'").select("stem", F.explode(F.split("acro", " ")).alias("acro")).distinct()
     caps = forms.where("kind = 'person' AND acro <> ''").select("spelling", "acro", "place").join(orgs, "acro").join(near.select(F.col("a").alias("place"), F.col("b").alias("stem"), "d"), ["place", "stem"], "left")
     short = caps.where("place = '' OR d IS NOT NULL").select("spelling", F.lit(True).alias("short")).distinct()
     is_short, swapped = F.col("short").isNotNull(), F.col("swap").isNotNull()
@@ -123,17 +126,19 @@ def connected(st: Stages, nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.join(nxt.select("x", "root"), "x", "left").select("x", F.coalesce("root", "x").alias("root"))
 
 
-def resolve(st: Stages, spellings: DataFrame, works: DataFrame, links: DataFrame) -> Resolved:
+def resolve(st: Stages, spellings: DataFrame, works: DataFrame, links: DataFrame, listed: DataFrame | None = None) -> Resolved:
     """Parsed spellings with their core, and the entities of the cores.
 
     ``spellings``: ``(spelling, n)`` with the rows of each; ``works``: ``(spelling,
     work, n)``, what rows cite under a spelling; ``links``: ``(a, b)``, spellings that one
-    row uses for the same entity.  A core may be a member of several entities
+    row uses for the same entity; ``listed``: parsed names of a reference list, whose
+    organisations give acronyms too.  A core may be a member of several entities
     ("J. Smith"); cores without any stay their own.
     """
     parsed = st.cut(parse_spellings(spellings))
-    near = st.cut(neighbours(vocabulary(parsed), "s"))
-    forms = st.cut(settle(parsed, near).withColumn("core", F.concat_ws("|", "kind", "stem", "lead")))
+    listed = parsed.limit(0) if listed is None else listed
+    near = st.cut(neighbours(vocabulary(parsed.unionByName(listed)), "s"))
+    forms = st.cut(settle(parsed, near, listed).withColumn("core", F.concat_ws("|", "kind", "stem", "lead")))
     core_of = forms.select("spelling", "core")
     seen = works.join(core_of, "spelling").groupBy("core", "work").agg(F.sum("n").alias("n"))
     # A title typed once anywhere says nothing about whose it is.
