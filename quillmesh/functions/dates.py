@@ -9,40 +9,46 @@ MAX_LIFESPAN = 120
 MAX_SPAN = 200
 
 
-def _dates(b: Column | None, d: Column | None) -> Column:
-    i = lambda x: F.lit(None).cast("int") if x is None else x.cast("int")
-    return F.struct(i(b).alias("birth_year"), i(d).alias("death_year"))
+#: The labels of the date rules.
+FIX_LABELS = (
+    "sign_error_death", "sign_error_birth", "wrong_person_death", "wrong_person_birth", "sign_error_both", "wrong_person_both_neg",
+    "wrong_person_both", "implausible_lifespan",
+)
 
 
 def date_case(b: Column, d: Column) -> Column:
-    """Which date rule applies: its label, null where the dates stay as they are."""
+    """Which date rule applies: one of :data:`FIX_LABELS`, null where the dates stay as they are."""
     ab, ad = F.abs(b), F.abs(d)
     within = lambda x: (x > 0) & (x < MAX_LIFESPAN)
+    mixed, both_bc = (b < 0) & (d > 0), (b < 0) & (d < 0) & (d < b)
     return (
         F.when(b.isNull() | d.isNull(), None)
-        .when((b > 0) & (d < 0) & within(ad - b), "death_sign")
-        .when((b < 0) & (d > 0) & within(d - ab), "birth_sign")
-        .when((b < 0) & (d < 0) & (d < b) & within(ad - ab), "both_signs")
-        .when((b < 0) & (d < 0) & (d < b), "bc_order")
-        .when((b > 0) & (d < 0), "death_lost")
-        .when((b < 0) & (d > 0) & ~within(ab + d), "birth_lost")
-        .when((b > 0) & (d > 0) & (b > d), "order")
-        .when((b > 0) & (d > 0) & (d - b > MAX_SPAN), "span")
+        .when((b > 0) & (d < 0), F.when(within(ad - b), "sign_error_death").otherwise("wrong_person_death"))
+        .when(mixed & within(d - ab), "sign_error_birth")
+        .when(mixed & ~within(ab + d), "wrong_person_birth")
+        .when(both_bc, F.when(within(ad - ab), "sign_error_both").otherwise("wrong_person_both_neg"))
+        .when((b > 0) & (d > 0) & (b > d), "wrong_person_both")
+        .when((b > 0) & (d > 0) & (d - b > MAX_SPAN), "implausible_lifespan")
     )
 
 
+def checked_dates(b: Column, d: Column) -> Column:
+    """``struct<birth_year, death_year, label>`` after the sanity rules; first rule wins."""
+    # The label is made once, in the array's only element, and read from there.
+    one = F.array(F.struct(b.cast("int").alias("b"), d.cast("int").alias("d"), date_case(b, d).alias("label")))
+
+    def fixed(x: Column) -> Column:
+        is_ = x["label"].isin
+        birth = F.when(is_("wrong_person_birth", "wrong_person_both_neg", "wrong_person_both", "implausible_lifespan"), None).when(is_("sign_error_birth", "sign_error_both"), F.abs(x["b"])).otherwise(x["b"])
+        death = F.when(is_("wrong_person_death", "wrong_person_both_neg", "wrong_person_both", "implausible_lifespan"), None).when(is_("sign_error_death", "sign_error_both"), F.abs(x["d"])).otherwise(x["d"])
+        return F.struct(birth.alias("birth_year"), death.alias("death_year"), x["label"].alias("label"))
+
+    return F.get(F.transform(one, fixed), 0)
+
+
 def validate_dates(b: Column, d: Column) -> Column:
-    """``struct<birth_year, death_year>`` after the sanity rules; first rule wins."""
-    label = date_case(b, d)
-    return (
-        F.when(label == "death_sign", _dates(b, F.abs(d)))
-        .when(label == "birth_sign", _dates(F.abs(b), d))
-        .when(label == "both_signs", _dates(F.abs(b), F.abs(d)))
-        .when(label.isin("bc_order", "order", "span"), _dates(None, None))
-        .when(label == "death_lost", _dates(b, None))
-        .when(label == "birth_lost", _dates(None, d))
-        .otherwise(_dates(b, d))
-    )
+    """``struct<birth_year, death_year>`` after the sanity rules."""
+    return checked_dates(b, d).dropFields("label")
 
 
 def suspicious_dates(b: Column, d: Column) -> Column:
@@ -64,6 +70,21 @@ def parse_year(c: Column) -> Column:
     )
 
 
+def get_year(c: Column) -> Column:
+    """As :func:`parse_year`; 0 and empty text are no year, fractions are cut off."""
+    text = F.nullif(c.cast("string"), F.lit(""))
+    number = F.when(text.rlike(r"^-?[0-9]+\.[0-9]+$"), F.regexp_extract(text, r"^(-?[0-9]+)", 1)).otherwise(text)
+    return F.nullif(parse_year(number), F.lit(0))
+
+
+def viewer_year(c: Column) -> Column:
+    """Year of a number, of a BC text or of an ISO date; null for any other text."""
+    s = c.cast("string")
+    bc = F.nullif(F.regexp_replace(s, r"[^0-9]", ""), F.lit(""))
+    iso = F.nullif(F.regexp_extract(s, r"^(-?[0-9]+)(?:-[0-9]{2}(?:-[0-9]{2}(?:T.*)?)?)?$", 1), F.lit(""))
+    return F.when(s.contains("BC"), -bc.try_cast("int")).otherwise(iso.try_cast("int"))
+
+
 def parse_to_integer(c: Column) -> Column:
     """Strict twin that keeps the sign and leaves what it cannot read as text."""
     s = F.trim(c.cast("string"))
@@ -113,6 +134,21 @@ def person_year_in_text(c: Column) -> Column:
     return F.when(c.rlike(r"[0-9]{3,4} *BCE?"), -y).otherwise(y)
 
 
+def answered_year(c: Column) -> Column:
+    """The first three or four digits of an answer, a sign before them included."""
+    return F.nullif(F.regexp_extract(c, r"(-?[0-9]{3,4})", 1), F.lit("")).cast("int")
+
+
+#: Years that a flipped sign explains.
+FLIPPED = (-2025, -1000)
+
+
+def flip_sign(b: Column, d: Column) -> Column:
+    """``struct<birth_year, death_year>``: both made positive where the birth is in :data:`FLIPPED`."""
+    hit = b.between(*FLIPPED)
+    return F.struct(F.when(hit, F.abs(b)).otherwise(b).cast("int").alias("birth_year"), F.when(hit, F.abs(d)).otherwise(d).cast("int").alias("death_year"))
+
+
 #: Upper bounds and names of the epochs.
 EPOCHS = (
     (500, "Ancient"), (1000, "Early Medieval"), (1300, "High Medieval"), (1500, "Late Medieval"), (1600, "Renaissance"),

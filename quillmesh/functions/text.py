@@ -190,7 +190,7 @@ def last_name(a: Column) -> Column:
 
 def uncomma(a: Column) -> Column:
     """'Last, First' as 'First Last'; null without a comma or with an empty side."""
-    last, first = F.trim(F.regexp_extract(a, r"^([^,]*),(.*)$", 1)), F.trim(F.regexp_extract(a, r"^([^,]*),(.*)$", 2))
+    last, first = squeeze(F.regexp_extract(a, r"^([^,]*),(.*)$", 1)), squeeze(F.regexp_extract(a, r"^([^,]*),(.*)$", 2))
     return F.when(a.contains(",") & (last != "") & (first != ""), F.concat_ws(" ", first, last))
 
 
@@ -203,3 +203,89 @@ def without_particle(a: Column) -> Column:
     ]
     ahead = [(low.startswith(p), F.substring(a, F.lit(len(p) + 1), F.length(a))) for p in NAME_PARTICLES]
     return F.nullif(squeeze(_first_of(*inside, *ahead)), F.lit(""))
+
+
+# -- people pages ----------------------------------------------------------------
+
+#: Nationalities, looked for in this order.
+NATIONALITIES = (
+    "German", "French", "English", "British", "Russian", "Italian", "American", "Greek", "Roman", "Spanish", "Austrian", "Polish", "Dutch", "Swiss",
+    "Japanese", "Chinese", "Irish", "Scottish", "Czech", "Swedish", "Norwegian", "Danish", "Hungarian", "Portuguese", "Indian", "Persian", "Turkish",
+    "Belgian", "Finnish", "Romanian", "Canadian", "Australian", "Argentine", "Brazilian", "Mexican", "Colombian", "Egyptian", "Korean", "Arab",
+)
+#: Occupations that make a person relevant.
+OCCUPATIONS = ("writer", "author", "novelist", "poet", "journalist", "screenwriter", "scientist", "biologist", "philosopher", "mathematician", "historian")
+
+
+def first_listed(c: Column, words: tuple[str, ...]) -> Column:
+    """The first of ``words`` that ``c`` contains."""
+    return F.get(F.filter(F.array(*[F.lit(w) for w in words]), lambda w: c.contains(w)), 0)
+
+
+def nationality(stated: Column, categories: Column) -> Column:
+    """The stated nationality, else the one that the first telling category names."""
+    told = F.filter(F.transform(categories, lambda c: first_listed(c, NATIONALITIES)), lambda n: n.isNotNull())
+    return F.coalesce(F.nullif(stated, F.lit("")), F.get(told, 0))
+
+
+def relevant_person(infoboxes: Column, categories: Column) -> Column:
+    """An occupation of :data:`OCCUPATIONS` stands in a box or category."""
+    empty = F.array().cast("array<string>")
+    return F.lower(F.concat_ws(" ", F.coalesce(infoboxes, empty), F.coalesce(categories, empty))).rlike("|".join(OCCUPATIONS))
+
+
+# -- answers of providers -----------------------------------------------------------
+
+
+def salvage_json(c: Column) -> Column:
+    """JSON text of an answer: as it is, else its fenced part, else its outermost braces, else an error.
+
+    Empty answers are ``{}``; tool calls pass unchanged.
+    """
+    s = F.regexp_replace(c, r"^\s+|\s+$", "")
+    fence = "`" * 3
+    valid = lambda t: F.when(F.try_parse_json(t).isNotNull(), t)
+    inside = lambda pattern: F.nullif(F.regexp_extract(s, pattern, 1), F.lit(""))
+    error = F.to_json(F.struct(F.lit("UNPARSEABLE").alias("result"), s.alias("raw_response")))
+    return F.when(s == "", "{}").when(s.startswith("<tool_call>"), s).otherwise(
+        F.coalesce(valid(s), valid(inside(rf"(?s){fence}json\s*(\{{.*?\}})\s*{fence}")), valid(inside(r"(?s)(\{.*\})")), error)
+    )
+
+
+#: Words that show what a fact line is about; the first rule that fits counts.
+PERSON_LINES = ((("born",), "born"), (("died",), "died"), (("birth_date",), "born"), (("death_date",), "died"))
+BOOK_LINES = ((("published", "publication date", "release date", "first published"), "published"), (("author",), "author"), (("publisher",), "publisher"))
+
+
+def fact_lines(c: Column, rules: tuple[tuple[tuple[str, ...], str], ...]) -> Column:
+    """Struct of facts of ``key: value`` lines; the last line of a fact counts."""
+
+    def kind(line: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for words, name in reversed(rules):
+            out = F.when(F.lower(line).rlike("|".join(words)), name).otherwise(out)
+        return out
+
+    marked = F.transform(F.split(c, "\n"), lambda x: F.struct(kind(x).alias("k"), F.when(x.contains(":"), F.trim(F.regexp_extract(x, r"^[^:]*:(.*)$", 1))).otherwise(x).alias("v")))
+    names = list(dict.fromkeys(n for _, n in rules))
+
+    def last(name: str) -> Column:
+        return F.try_element_at(F.filter(marked, lambda m: m["k"] == name), F.lit(-1))["v"].alias(name)
+
+    return F.struct(*[last(n) for n in names])
+
+
+def prompt_fields(c: Column) -> Column:
+    """``struct<title, author>`` of a prompt's ``Book title:`` and ``Author:`` lines, the last of each."""
+    lines = F.split(c, "\n")
+
+    def last(word: str) -> Column:
+        hit = F.try_element_at(F.filter(lines, lambda x: F.lower(x).startswith(word) & x.contains(":")), F.lit(-1))
+        return F.trim(F.regexp_extract(hit, r"^[^:]*:(.*)$", 1))
+
+    return F.struct(F.btrim(last("book title"), F.lit('"')).alias("title"), last("author").alias("author"))
+
+
+def id_list(c: Column) -> Column:
+    """Ids of an allow-list separated by commas or blanks."""
+    return F.filter(F.split(F.trim(F.replace(c, F.lit(","), F.lit(" "))), r"\s+"), lambda x: x != "")

@@ -32,6 +32,11 @@ def default_tokens(sents: list[str]) -> int:
     return sum(len(s) + 1 for s in sents) // 4 + 1
 
 
+def prompt_tokens(prompt: Column) -> Column:
+    """Tokens of a rendered prompt by the four-letters rule."""
+    return (F.floor(F.length(prompt) / 4) + 1).cast("int")
+
+
 def budget_chunks(sents: list[str], size: int, config: PipelineConfig, count: Callable[[list[str]], int] = default_tokens) -> list[tuple[int, int, int]]:
     """``(index, start, end)``, 1-based inclusive: chunks within the character and token budgets."""
     room = config.max_context - config.max_completion

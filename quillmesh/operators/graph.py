@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import slug
+from ..functions.text import first_listed, slug
 
 
 def author_links(cites: DataFrame) -> DataFrame:
@@ -77,20 +77,6 @@ def distribution(df: DataFrame, col: str, top: int = 7) -> DataFrame:
     ).groupBy("bucket", "pos").agg(F.sum("n").alias("n")).select("bucket", F.col("n").cast("bigint").alias("n"), F.col("pos").cast("int").alias("pos"))
 
 
-def neighbours_of(links: DataFrame, name: str, book: str | None = None) -> DataFrame:
-    """Out-neighbours of an author, if wanted only through one citing book."""
-    out = links.where(F.col("src") == name)
-    if book is not None:
-        out = out.where(F.array_contains("source_books", book))
-    return out.select(F.col("dst").alias("name"), "n_books")
-
-
-def dimmed(nodes: DataFrame, links: DataFrame, name: str) -> DataFrame:
-    """Nodes that are neither the author nor linked to it."""
-    lit = links.where(F.col("src") == name).select(F.col("dst").alias("l")).unionByName(links.where(F.col("dst") == name).select(F.col("src").alias("l"))).distinct()
-    return nodes.where(F.col("name") != name).join(lit, F.col("name") == F.col("l"), "left_anti").select("name")
-
-
 def viewer_search(nodes: DataFrame, query: str) -> DataFrame:
     """``(name, score)``: 100 equal, 80 prefix, 60 name contains, 40 a book title contains.
 
@@ -98,7 +84,7 @@ def viewer_search(nodes: DataFrame, query: str) -> DataFrame:
     """
     n, q = F.lower("name"), F.lit(query.lower())
     score = F.when(n == q, 100).when(n.startswith(q), 80).when(n.contains(q), 60).when(F.exists("titles", lambda t: F.lower(t).contains(q)), 40)
-    return nodes.select("name", score.alias("score")).where("score IS NOT NULL")
+    return nodes.select("name", score.alias("score")).where("score IS NOT NULL").orderBy(F.desc("score"), "name")
 
 
 def source_book_map(books: DataFrame) -> DataFrame:
@@ -128,20 +114,48 @@ def ticks(lo: Column, hi: Column) -> Column:
     return F.concat(old, new)
 
 
-# Kinds of people boxes, and the words that show them.
+#: Kinds of people boxes, in the order in which parts of a name are tried.
 BOX_KINDS = (
-    ("philosopher", "Philosopher"), ("writer", "Writer"), ("author", "Writer"), ("poet", "Writer"), ("scientist", "Scientist"),
-    ("royalty", "Ruler"), ("monarch", "Ruler"), ("officeholder", "Politician"), ("politician", "Politician"), ("saint", "Religious"), ("religious", "Religious"), ("artist", "Artist"),
+    ("philosopher", "Philosophy"), ("theologian", "Philosophy"), ("writer", "Literature"), ("poet", "Literature"), ("author", "Literature"),
+    ("scientist", "Science"), ("academic", "Science"), ("scholar", "Science"), ("medical person", "Science"), ("engineer", "Science"), ("economist", "Science"),
+    ("officeholder", "Politics"), ("royalty", "Politics"), ("military person", "Politics"), ("saint", "Religion"), ("christian leader", "Religion"),
+    ("clergy", "Religion"), ("religious biography", "Religion"), ("artist", "Arts"), ("classical composer", "Arts"), ("musical artist", "Arts"), ("architect", "Arts"),
 )
 
 
 def box_kind(boxes: Column) -> Column:
-    """Kind of a person by infobox names: exact first, then contained, else Other; null without an array."""
+    """Kind of a person: of the first box listed, else of the first that contains a listed name, else Other; null without an array."""
     clean = F.transform(boxes, lambda b: F.lower(F.trim(F.regexp_replace(b, r"(?s)<!--.*?-->", ""))))
-    out = F.lit("Other")
-    for word, kind in reversed(BOX_KINDS):
-        out = F.when(F.exists(clean, lambda b, w=word: b.contains(w)), kind).otherwise(out)
-    for word, kind in reversed(BOX_KINDS):
-        out = F.when(F.array_contains(clean, word), kind).otherwise(out)
-    return F.when(boxes.isNotNull(), out)
+    kinds = F.create_map(*[F.lit(x) for pair in BOX_KINDS for x in pair])
+    told = lambda f: F.get(F.filter(F.transform(clean, f), lambda k: k.isNotNull()), 0)
+    part = lambda b: F.try_element_at(kinds, first_listed(b, tuple(w for w, _ in BOX_KINDS)))
+    return F.when(boxes.isNotNull(), F.coalesce(told(lambda b: F.try_element_at(kinds, b)), told(part), F.lit("Other")))
+
+
+def to_screen(x: Column, y: Column, scale: float, dx: float, dy: float) -> tuple[Column, Column]:
+    """World to screen coordinates."""
+    return x * scale + dx, y * scale + dy
+
+
+def to_world(x: Column, y: Column, scale: float, dx: float, dy: float) -> tuple[Column, Column]:
+    """Screen to world coordinates."""
+    return (x - dx) / scale, (y - dy) / scale
+
+
+def in_view(x: Column, y: Column, r: Column, view: tuple[float, float, float], size: tuple[float, float], margin: float = 0.0) -> Column:
+    """Circles that a screen of ``size`` shows under ``view (scale, dx, dy)``, a margin around it included."""
+    sx, sy = to_screen(x, y, *view)
+    reach = r * view[0] + margin
+    return (sx + reach >= 0) & (sx - reach <= size[0]) & (sy + reach >= 0) & (sy - reach <= size[1])
+
+
+def cover_paths(registry: DataFrame) -> DataFrame:
+    """``(cover)``: the paths of all covers of the datasets ``(path, covers)``."""
+    return registry.select("path", F.explode("covers").alias("c")).select(F.concat_ws("/", "path", "c").alias("cover"))
+
 
+def out_links(links: DataFrame, who: DataFrame, book: str | None = None) -> DataFrame:
+    """``(src, dst, lit)``: whether a link leaves an author of ``who (name)``, if wanted through one book only."""
+    hit = links.join(who.select(F.col("name").alias("_w")).distinct(), F.col("src") == F.col("_w"), "left")
+    lit = F.col("_w").isNotNull()
+    return hit.select("src", "dst", (lit if book is None else lit & F.array_contains("source_books", book)).alias("lit"))

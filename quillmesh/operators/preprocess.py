@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import casefold, main_title, normalize_text, title_case
+from .dedup import united
+from .tables import kept
 
 # Authors that are no persons, lower case.
 NOT_PERSONS = (
@@ -61,13 +63,9 @@ def _merged(df: DataFrame, keys: dict[str, Column], first: Sequence[str]) -> Dat
         F.min_by(F.struct(*first), "ord").alias("_f"), F.min("ord").alias("ord"), F.sum("cite_count").alias("cite_count"), F.count("*").alias("merged")
     )
 
-    def united(col: str) -> DataFrame:
-        each = keyed.select(*names, "ord", F.posexplode(col).alias("p", "v")).groupBy(*names, "v").agg(F.min(F.struct("ord", "p")).alias("at"))
-        return each.groupBy(*[F.col(n).alias(f"_{n}") for n in names]).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "v"))), lambda x: x["v"]).alias(col))
-
     out = head
     for col in ("contexts", "commentaries"):
-        u = united(col)
+        u = united(keyed, names, col, ["ord"]).withColumnsRenamed({n: f"_{n}" for n in names})
         cond = None
         for n in names:
             e = out[n].eqNullSafe(u[f"_{n}"])
@@ -218,8 +216,10 @@ def fuzzy_merge(df: DataFrame, threshold: float = 0.85) -> DataFrame:
             yield pd.DataFrame(out, columns=["_g", "_o", "_seed"])
 
     kinds = dict(df.dtypes)
-    packed = df.groupBy("group").agg(F.collect_list(F.struct("ord", "title", "author")).alias("rows"))
+    # Rows with and without a title are never in one cluster.
+    packed = df.groupBy("group", (F.trim("title") != "").alias("titled")).agg(F.collect_list(F.struct("ord", "title", "author")).alias("rows")).drop("titled")
     seeds = packed.mapInPandas(run, f"_g {kinds['group']}, _o {kinds['ord']}, _seed {kinds['ord']}")
+    seeds = kept(seeds)
     joined = df.join(seeds, (df["group"] == seeds["_g"]) & (df["ord"] == seeds["_o"]))
     heads = df.select(F.col("group").alias("_hg"), F.col("ord").alias("_ho"), "title", "author", "canonical_author")
     body = joined.select("group", "_seed", "ord", "cite_count", "contexts", "commentaries")
@@ -243,5 +243,6 @@ def preprocess(df: DataFrame, aliases: DataFrame | None = None, sources: DataFra
     if sources is not None:
         steps.append(lambda d: drop_self_references(d, sources))
     for step in steps:
-        df = df.transform(step)
+        # A merging step reads its input several times: each is a table of its own.
+        df = kept(df.transform(step))
     return df

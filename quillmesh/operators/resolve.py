@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -10,8 +11,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import PipelineConfig
-from ..functions.text import last_name, token_sort, uncomma, without_article, without_particle, without_subtitle
-from .search import record_hits, substring_lookup
+from ..functions.text import last_name, title_case, token_sort, uncomma, without_article, without_particle, without_subtitle
+from .search import find_people, record_hits, substring_lookup
 from .tables import kept
 
 
@@ -120,29 +121,108 @@ def match_type(title: Column, catalog: Column, person: Column) -> Column:
     return F.when(book & catalog.isNotNull(), "book").when(~book & catalog.isNotNull(), "author").when(~book & person.isNotNull(), "person").otherwise("not_found")
 
 
-def resolve(cites: DataFrame, catalog: DataFrame, passes: int = 3, config: PipelineConfig = PipelineConfig()) -> DataFrame:
-    """``(cit_id, book_id, score, decision, match_type, pass_no)``.
+def alias_variants(cites: DataFrame, aliases: DataFrame, id_col: str = "cit_id") -> DataFrame:
+    """``cites`` with ``variants``: the author's canonical name, then its other variants, title-cased, each once.
 
-    Pass ``k`` searches the catalogue by the main title, then by the bare title
-    words, for the citations that no pass before has resolved; candidates are
-    scored against the cited title and author and go through the gate.
-    ``catalog``: ``(book_id, title, author)``.
+    ``aliases``: ``(variant_lower, canonical)``.  The author itself is no variant.
     """
-    from ..functions.text import main_title
-
-    todo = cites.select("cit_id", F.coalesce("title", F.lit("")).alias("title"), F.coalesce("author", F.lit("")).alias("author")).where("trim(title) <> ''")
-    cat = catalog.select("book_id", F.col("title").alias("c_title"), F.col("author").alias("c_author"))
-    keys = [
-        (main_title(F.col("title")), main_title(F.col("c_title"))),
-        (token_sort(main_title(F.col("title"))), token_sort(main_title(F.col("c_title")))),
-        (F.split_part(main_title(F.col("title")), F.lit(" and "), F.lit(1)), F.split_part(main_title(F.col("c_title")), F.lit(" and "), F.lit(1))),
-    ]
-    out = None
-    for no, (kq, kc) in enumerate(keys[:passes], 1):
-        cand = todo.withColumn("k", kq).where("k <> ''").join(cat.withColumn("k", kc), "k")
-        cand = score_expr(score_expr(cand, "title", "c_title", "ts"), "author", "c_author", "au")
-        cand = cand.where("au >= 50").select(F.col("cit_id").alias("id"), F.col("book_id").alias("ord"), F.floor(0.6 * F.col("ts") + 0.4 * F.col("au")).cast("int").alias("score"))
-        got = gate(cand, config).where("decision <> 'none'").select(F.col("id").alias("cit_id"), F.col("ord").alias("book_id"), "score", "decision", F.lit("book").alias("match_type"), F.lit(no).alias("pass_no"))
-        out = got if out is None else out.unionByName(got)
-        todo = todo.join(got.select("cit_id"), "cit_id", "left_anti")
-    return out
+    dim = aliases.groupBy(F.lower("variant_lower").alias("v")).agg(F.min("canonical").alias("c"))
+    names = cites.select("author").where("author <> ''").distinct().withColumn("low", F.lower("author"))
+    named = names.join(dim.select(F.col("v").alias("low"), F.col("c").alias("canon")), "low", "left")
+    main = named.where("canon IS NOT NULL AND lower(canon) <> low").select("author", F.col("canon").alias("name"), F.lit("").alias("at"))
+    others = named.withColumn("k", F.lower(F.coalesce("canon", "author"))).join(dim.select(F.lower("c").alias("k"), "v"), "k").where("v <> low").select("author", title_case(F.col("v")).alias("name"), F.concat(F.lit("1"), "v").alias("at"))
+    each = main.unionByName(others).where(F.lower("name") != F.lower("author")).groupBy("author", F.lower("name").alias("l")).agg(F.min(F.struct("at", "name")).alias("b"))
+    packed = each.groupBy(F.col("author").alias("_a")).agg(F.transform(F.array_sort(F.collect_list("b")), lambda b: b["name"]).alias("variants"))
+    return cites.join(packed, F.col("author") == F.col("_a"), "left").drop("_a").withColumn("variants", F.coalesce("variants", F.array().cast("array<string>")))
+
+
+def basic_queries(cites: DataFrame, attempt: int) -> DataFrame:
+    """Default of the retry: the full author, then the last name, the title with both."""
+    t, a = F.trim(F.coalesce("title", F.lit(""))), F.trim(F.coalesce("author", F.lit("")))
+    rules = F.array(F.struct(F.lit(1).alias("n"), a.alias("a")), F.struct(F.lit(2).alias("n"), last_name(a).alias("a")))
+    rows = cites.select("cit_id", F.nullif(t, F.lit("")).alias("q_title"), F.explode(rules).alias("r")).where("r.a <> ''")
+    return rows.select("cit_id", F.col("r.n").alias("query_no"), "q_title", F.col("r.a").alias("q_author"))
+
+
+def fuzzy_adjudicator(ambiguous: DataFrame, config: PipelineConfig) -> DataFrame:
+    """Default of the choice between near candidates ``(id, ord, score, pos)``: the best one above the score of a single winner."""
+    best = F.row_number().over(W.partitionBy("id").orderBy(F.desc("score"), "pos"))
+    return ambiguous.withColumn("_b", best).where((F.col("_b") == 1) & (F.col("score") > config.single_score)).select("id", "ord", "score")
+
+
+Rewriter = Callable[[DataFrame, int], DataFrame]
+Adjudicator = Callable[[DataFrame, PipelineConfig], DataFrame]
+
+
+def choose(cands: DataFrame, config: PipelineConfig, adjudicator: Adjudicator) -> DataFrame:
+    """``(id, ord, score, decision)`` of candidates ``(id, ord, pos, score)``: the five best, the gate, then the adjudicator.
+
+    Up to five candidates keep their order; of more the five of highest score remain.
+    """
+    by = W.partitionBy("id")
+    top = cands.withColumns({"n": F.count("*").over(by), "r": F.row_number().over(by.orderBy(F.desc("score"), "pos"))}).where("n <= 5 OR r <= 5")
+    ranked = top.withColumns({
+        "r": F.row_number().over(by.orderBy(F.desc("score"), "pos")), "second": F.lead("score", 1, 0).over(by.orderBy(F.desc("score"), "pos")),
+        "good": F.sum((F.col("score") > config.single_score).cast("int")).over(by),
+    })
+    clear = F.when(F.col("score") > config.accept_score, "accepted").when((F.col("good") == 1) & (F.col("score") > config.single_score) & (F.col("score") - F.col("second") > config.single_gap), "single")
+    first = kept(ranked.withColumn("decision", F.when(F.col("r") == 1, clear)))
+    sure = first.where("decision IS NOT NULL").select("id", "ord", "score", "decision")
+    rest = first.join(sure.select("id"), "id", "left_anti").select("id", "ord", "score", "pos")
+    return sure.unionByName(adjudicator(rest, config).withColumn("decision", F.lit("adjudicated")))
+
+
+def resolve(
+    cites: DataFrame, books: DataFrame, authors: DataFrame, people: DataFrame, aliases: DataFrame | None = None, overrides: DataFrame | None = None,
+    config: PipelineConfig = PipelineConfig(), rewriter: Rewriter = basic_queries, adjudicator: Adjudicator = fuzzy_adjudicator,
+) -> DataFrame:
+    """``(cit_id, match_type, book_id, author_id, page_id, score, decision, pass_no)``: one row per citation.
+
+    Every citation is searched with its expanded queries: titled ones among the
+    books, untitled ones among the authors, both among the people pages.  The five
+    best candidates of a source go through the gate, what is not clear to the
+    ``adjudicator``.  Citations that find no book (titled) or nothing (untitled) are
+    searched again with the queries of the ``rewriter``, ``config.retries`` times at most.
+
+    ``cites``: ``(cit_id, title, author, canonical_author)``; ``books``: ``(book_id,
+    title, authors array<string>)``; ``authors``: ``(author_id, name)``; ``people``:
+    ``(page_id, title, birth_year, death_year)``.
+    """
+    blank = F.lit("")
+    base = cites.select("cit_id", F.coalesce("title", blank).alias("title"), F.coalesce("author", blank).alias("author"), "canonical_author")
+    base = kept(alias_variants(base, aliases) if aliases is not None else base.withColumn("variants", F.array().cast("array<string>")))
+    todo, out, attempt = base, None, 0
+    names = kept(authors.where("name IS NOT NULL AND author_id IS NOT NULL").groupBy("name").agg(F.min("author_id").alias("ord")))
+    shelf = books.select(F.col("book_id").alias("doc"), F.col("title").alias("d_title"), F.col("authors").alias("d_authors"))
+    while True:
+        asked = expand_queries(todo) if attempt == 0 else rewriter(todo, attempt)
+        asked = kept(asked.join(todo.select("cit_id", (F.trim("title") != "").alias("titled")), "cit_id"))
+        # Equal queries of many citations are searched once.
+        texts = asked.where("titled").select(F.struct("q_title", "q_author").alias("q"), "q_title", "q_author").distinct()
+        by_title = asked.where("titled").withColumn("q", F.struct("q_title", "q_author")).join(record_hits(texts, shelf, config.search_limit), "q").select("cit_id", "query_no", "rank", F.col("doc").alias("ord"))
+        by_title = by_title.join(books.select(F.col("book_id").alias("ord"), F.col("title").alias("found")), "ord").withColumn("source", F.lit("books"))
+        lone = asked.where("NOT titled").withColumn("q", F.coalesce("q_author", "q_title"))
+        by_name = lone.join(substring_lookup(lone.select("q").distinct(), names, config.search_limit), "q").join(names, "name").select("ord", "cit_id", "query_no", "rank", F.col("name").alias("found")).withColumn("source", F.lit("authors"))
+        who = asked.where("q_author <> ''").withColumnRenamed("q_author", "q")
+        pages = find_people(who.select("q").distinct(), people, overrides, config.search_limit)
+        by_page = who.join(pages, "q").select(F.col("page_id").alias("ord"), "cit_id", "query_no", "rank", F.col("title").alias("found")).withColumn("source", F.lit("people"))
+        # Each candidate once, at its first place; scored against the cited title, or the author.
+        hits = by_title.unionByName(by_name).unionByName(by_page).groupBy("cit_id", "source", "ord").agg(F.min(F.struct("query_no", "rank", "found")).alias("at"))
+        hits = hits.join(todo.select("cit_id", F.when(F.trim("title") != "", F.col("title")).otherwise(F.col("author")).alias("cited")), "cit_id").select("cit_id", "source", "ord", "cited", "at.*")
+        place = F.row_number().over(W.partitionBy("cit_id", "source").orderBy("query_no", "rank", "ord"))
+        scored = kept(score_expr(hits, "cited", "found").select(F.struct("cit_id", "source").alias("id"), "ord", "score", place.alias("pos")))
+        got = choose(scored, config, adjudicator).select("id.cit_id", "id.source", "ord", "score", "decision")
+        pick = lambda src, c: F.max(F.when(F.col("source") == src, F.col(c)))
+        per = got.groupBy("cit_id").agg(
+            pick("books", "ord").alias("book_id"), pick("authors", "ord").alias("author_id"), pick("people", "ord").alias("page_id"),
+            F.coalesce(pick("books", "score"), pick("authors", "score"), pick("people", "score")).alias("score"),
+            F.coalesce(pick("books", "decision"), pick("authors", "decision"), pick("people", "decision")).alias("decision"),
+        )
+        kind = match_type(F.col("title"), F.coalesce("book_id", "author_id"), F.col("page_id")).alias("match_type")
+        now = kept(todo.join(per, "cit_id", "left").select("cit_id", kind, "book_id", "author_id", "page_id", "score", "decision", F.lit(attempt + 1).alias("pass_no")))
+        last = attempt >= (min(config.retries, 1) if rewriter is basic_queries else config.retries)
+        done = now if last else now.where("match_type <> 'not_found'")
+        out = done if out is None else out.unionByName(done)
+        if last:
+            return out
+        todo, attempt = kept(todo.join(done.select("cit_id"), "cit_id", "left_anti")), attempt + 1

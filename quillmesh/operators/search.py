@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..config import PipelineConfig
 from ..functions.text import strip_accents
 from .tables import kept
 
@@ -52,7 +53,7 @@ def all_words_hits(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str,
 
 
 def record_hits(queries: DataFrame, docs: DataFrame, limit: int = 5) -> DataFrame:
-    """``(q, doc)``: records that hold the title phrase and the author phrase of a query, the ``limit`` shortest records first.
+    """``(q, doc, rank)``: records that hold the title phrase and the author phrase of a query, the ``limit`` shortest records first.
 
     A query with an author that meets nothing is asked again with the words of
     the author one by one, but for single letters.  ``queries``: ``(q, q_title,
@@ -78,7 +79,7 @@ def record_hits(queries: DataFrame, docs: DataFrame, limit: int = 5) -> DataFram
         cand = rare.join(held, "token").select("q", "doc").join(asked, "q").join(d.drop("words"), "doc")
         whole = F.when(F.size("qt") > 0, F.col("dt").contains(line("qt"))).otherwise(True) & F.forall("phrases", lambda p: F.col("da").contains(p))
         rank = F.row_number().over(W.partitionBy("q").orderBy("len", "doc"))
-        return cand.where(whole).withColumn("rank", rank).where(F.col("rank") <= limit).select("q", "doc")
+        return cand.where(whole).withColumn("rank", rank).where(F.col("rank") <= limit).select("q", "doc", "rank")
 
     first = kept(found(q.where(~F.col("ha") | (F.size("qa") > 0)).select("q", "qt", F.when(F.col("ha"), F.array(line("qa"))).otherwise(F.array().cast("array<string>")).alias("phrases"))))
     parts = F.filter(F.transform(F.filter("w", lambda x: F.length(x) > 1), lambda x: line(tokens(x))), lambda p: F.trim(p) != "")
@@ -129,6 +130,48 @@ def substring_lookup(queries: DataFrame, names: DataFrame, limit: int = 5) -> Da
     return found.withColumn("rank", F.row_number().over(W.partitionBy("q").orderBy("ord"))).where(F.col("rank") <= limit).select("q", "name", "rank")
 
 
+#: Most matches that a lookup gives, whatever is asked for.
+LOOKUP_CAP = PipelineConfig.lookup_cap
+
+
+def lookup_books(queries: DataFrame, docs: DataFrame, limit: int = 5) -> DataFrame:
+    """``(q, doc, rank)``: records by title alone, then by author alone, each once, up to ``limit`` in all.
+
+    ``queries``: ``(q, q_title, q_author)``; ``docs`` as for :func:`record_hits`.
+    """
+    none, most = F.lit(None).cast("string"), min(limit, LOOKUP_CAP)
+    ways = queries.select("q", F.explode(F.array(
+        F.struct(F.lit(0).alias("way"), F.col("q_title").alias("t"), none.alias("a")), F.struct(F.lit(1).alias("way"), none.alias("t"), F.col("q_author").alias("a")))).alias("w"))
+    asked = ways.select("q", "w.way", F.col("w.t").alias("q_title"), F.col("w.a").alias("q_author")).where("trim(coalesce(q_title, q_author, '')) <> ''")
+    found = record_hits(asked.select(F.struct("q", "way").alias("q"), "q_title", "q_author"), docs, most)
+    first = found.select("q.q", "q.way", "doc", "rank").groupBy("q", "doc").agg(F.min(F.struct("way", "rank")).alias("at"))
+    ranked = first.withColumn("rank", F.row_number().over(W.partitionBy("q").orderBy("at", "doc")))
+    return ranked.where(F.col("rank") <= most).select("q", "doc", "rank")
+
+
+def find_people(queries: DataFrame, people: DataFrame, overrides: DataFrame | None = None, limit: int = 5) -> DataFrame:
+    """``(q, page_id, title, birth_year, death_year, rank)``: pages whose title holds the phrase.
+
+    Ten times as many as wanted, fifty at least, are fetched by the length of their
+    titles, then ranked: the very title first, then the lowest page id.  ``overrides``:
+    ``(title, birth_year, death_year)`` replaces dates by title, any case.
+    """
+    hits = phrase_hits(queries, people, "q", "q", "page_id", "title").withColumnRenamed("doc", "page_id").join(people.select("page_id", "title", "birth_year", "death_year"), "page_id")
+    near = F.row_number().over(W.partitionBy("q").orderBy(F.length("title"), "page_id"))
+    hits = hits.withColumn("near", near).where(F.col("near") <= max(limit * 10, 50)).drop("near")
+    if overrides is not None:
+        o = overrides.groupBy(F.lower("title").alias("_t")).agg(F.max_by(F.struct("birth_year", "death_year"), F.struct("birth_year", "death_year")).alias("_o"))
+        hits = hits.join(o, F.lower("title") == F.col("_t"), "left")
+        hits = hits.withColumns({c: F.when(F.col("_t").isNotNull(), F.col(f"_o.{c}")).otherwise(F.col(c)) for c in ("birth_year", "death_year")}).drop("_t", "_o")
+    return person_rerank(hits).where(F.col("rank") <= limit).select("q", "page_id", "title", "birth_year", "death_year", "rank")
+
+
+def answer(queries: DataFrame, hits: DataFrame, fields: list[str]) -> DataFrame:
+    """``(q, matches_found, matches)``: one row per query, as a tool call returns it; hits are few by their limit."""
+    packed = hits.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("rank", *fields))).alias("matches"))
+    return queries.select("q").distinct().join(packed, "q", "left").select("q", F.coalesce(F.size("matches"), F.lit(0)).alias("matches_found"), "matches")
+
+
 def person_rerank(hits: DataFrame) -> DataFrame:
     """Best page of each query: exact title first, then the lowest page id."""
     w = W.partitionBy("q").orderBy(F.desc((F.lower("q") == F.lower("title")).cast("int")), F.asc_nulls_last("page_id"))

@@ -164,16 +164,17 @@ RESOLVED = f"""{CITATIONS}, {BOOKS}, best AS (SELECT title, min(book_id) AS book
 resolved AS (SELECT c.*, coalesce(b.book_id::VARCHAR, 'web_' || c.ord) AS book_id, k.work_id FROM cites c LEFT JOIN best b ON c.title = b.title LEFT JOIN books k ON k.book_id = b.book_id)"""
 
 
-def resolved(spark, d):
+def resolved(spark, d, texts=False):
     b = books(spark, d, "work_id", "title")
     best = b.where("title IS NOT NULL").groupBy(F.col("title").alias("bt")).agg(F.min("book_id").alias("bid"))
-    c = citations(spark, d)
+    c = citations(spark, d, texts)
     return c.join(best, c["title"] == best["bt"], "left").join(b.select(F.col("book_id").alias("kb"), "work_id"), F.col("bid") == F.col("kb"), "left").select(
         *c.columns, F.coalesce(F.col("bid").cast("string"), F.concat(F.lit("web_"), F.col("ord").cast("string"))).alias("book_id"), "work_id"
     )
 
 
 def _merge_sql(key: str, scoped: bool = True, src: str = "resolved") -> str:
+    """Rows after merging, without their texts."""
     k = f"CASE WHEN {key} IS NOT NULL THEN grp || '|' || {key} END" if scoped else key
     return f"""keyed AS (SELECT *, {k} AS k FROM {src}), st AS (
   SELECT k, count(*) AS n, sum(cite_count)::BIGINT AS s, arg_max(ord, {{'a': (NOT starts_with(book_id, 'web_'))::INT, 'b': cite_count, 'c': -ord}}) AS keep FROM keyed WHERE k IS NOT NULL
@@ -181,6 +182,26 @@ def _merge_sql(key: str, scoped: bool = True, src: str = "resolved") -> str:
 SELECT ord, book_id, CASE WHEN st.k IS NULL THEN cite_count ELSE s END AS cite_count, coalesce(n, 1) AS merged FROM keyed LEFT JOIN st USING (k) WHERE st.k IS NULL OR ord = keep"""
 
 
+def _merge_steps(key: str, src: str, p: str) -> str:
+    """CTEs ending in ``{p}out``: the merged rows with all columns, their contexts and commentaries united, and ``merged``."""
+    part = lambda c: f"""{p}{c}_e AS (SELECT k, v, min(spot) AS spot FROM (SELECT k, (ord <> keep)::BIGINT * 1000000000000000 + ord * 1000 + unnest(range(len({c}))) AS spot, unnest({c}) AS v FROM {p}keyed JOIN {p}st USING (k)) GROUP BY k, v),
+  {p}{c}_u AS (SELECT k, list(v ORDER BY spot) AS {c}_u FROM {p}{c}_e GROUP BY k)"""
+    return f"""{p}keyed AS (SELECT *, CASE WHEN {key} IS NOT NULL THEN grp || '|' || {key} END AS k FROM {src}), {p}st AS (
+  SELECT k, count(*) AS n, sum(cite_count)::BIGINT AS s, arg_max(ord, {{'a': (NOT starts_with(book_id, 'web_'))::INT, 'b': cite_count, 'c': -ord}}) AS keep FROM {p}keyed WHERE k IS NOT NULL
+  GROUP BY k HAVING count(*) >= 2 AND count(DISTINCT book_id) + max((book_id IS NULL)::INT) >= 2), {part('contexts')}, {part('commentaries')},
+{p}out AS (SELECT grp, ord, title, author, canonical_author, book_id, work_id, CASE WHEN {p}st.k IS NULL THEN cite_count ELSE s END AS cite_count, coalesce(n, 1) AS merged,
+  CASE WHEN {p}st.k IS NULL THEN contexts ELSE coalesce(contexts_u, []) END AS contexts, CASE WHEN {p}st.k IS NULL THEN commentaries ELSE coalesce(commentaries_u, []) END AS commentaries
+  FROM {p}keyed LEFT JOIN {p}st USING (k) LEFT JOIN {p}contexts_u USING (k) LEFT JOIN {p}commentaries_u USING (k) WHERE {p}st.k IS NULL OR ord = keep)"""
+
+
+_TEXTS = "array_to_string(contexts, ' ~ ') AS contexts, array_to_string(commentaries, ' ~ ') AS commentaries"
+_SHOWN = f"SELECT ord, book_id, cite_count, merged, {_TEXTS} FROM "
+
+
+def _shown(df):
+    return df.select("ord", "book_id", "cite_count", "merged", F.array_join("contexts", " ~ ").alias("contexts"), F.array_join("commentaries", " ~ ").alias("commentaries"))
+
+
 _WORK = "nullif(work_id, '')"
 _AK = f"regexp_replace(regexp_replace({SQ.format('regexp_replace(lower(strip_accents(%s)), %s, %s, %s)')} , '^st ', ''), '^saint ', '')"
 _WHO = _AK % ("coalesce(nullif(canonical_author, ''), nullif(author, ''), '?')", "'[.,]'", "''", "'g'")
@@ -188,50 +209,95 @@ _AT = f"CASE WHEN {_article('title')} <> '' THEN {_WHO} || '|' || {_article('tit
 _RT = f"CASE WHEN {_article('title')} <> '' THEN concat_ws('|', lower(trim(author, ' ')), {_article('title')}) END"
 
 
-@R.add("dedup_work_id", f"WITH {RESOLVED}, {_merge_sql(_WORK)}")
+@R.add("dedup_work_id", f"WITH {RESOLVED}, {_merge_steps(_WORK, 'resolved', 'a_')} {_SHOWN} a_out")
 def dedup_work_id(spark, d):
-    return DD.dedup_by_work(resolved(spark, d), scope="group").select("ord", "book_id", "cite_count", "merged")
+    return _shown(DD.dedup_by_work(resolved(spark, d, texts=True), scope="group"))
 
 
-@R.add("dedup_author_title", f"WITH {RESOLVED}, {_merge_sql(_AT)}")
+@R.add("dedup_author_title", f"WITH {RESOLVED}, {_merge_steps(_AT, 'resolved', 'a_')} {_SHOWN} a_out")
 def dedup_author_title(spark, d):
-    return DD.dedup_by_author_title(resolved(spark, d), scope="group").select("ord", "book_id", "cite_count", "merged")
+    return _shown(DD.dedup_by_author_title(resolved(spark, d, texts=True), scope="group"))
 
 
-@R.add("retro_dedup", f"WITH {RESOLVED}, {_merge_sql(_RT)}")
+@R.add("retro_dedup", f"WITH {RESOLVED}, {_merge_steps(_RT, 'resolved', 'a_')} {_SHOWN} a_out")
 def retro_dedup(spark, d):
-    return DD.retro_dedup(resolved(spark, d), scope="group").select("ord", "book_id", "cite_count", "merged")
+    return _shown(DD.retro_dedup(resolved(spark, d, texts=True), scope="group"))
 
 
-@R.add("dedup_two_passes")
+@R.add("dedup_two_passes", f"WITH {RESOLVED}, {_merge_steps(_WORK, 'resolved', 'a_')}, {_merge_steps(_AT, 'a_out', 'b_')} {_SHOWN} b_out")
 def dedup_two_passes(spark, d):
-    once_ = DD.dedup_by_work(resolved(spark, d), scope="group").drop("merged")
-    return DD.dedup_by_author_title(once_, scope="group").select("ord", "book_id", "cite_count", "merged")
+    once_ = DD.dedup_by_work(resolved(spark, d, texts=True), scope="group").drop("merged")
+    return _shown(DD.dedup_by_author_title(once_, scope="group"))
 
 
 _K0 = lambda c: SQ.format(f"regexp_replace(lower(strip_accents({c})), '[.,]', '', 'g')")
+_TYPED = "t AS (SELECT *, CASE WHEN work_id IS NOT NULL THEN 'book' WHEN title = '' THEN 'author' ELSE 'not_found' END AS match_type FROM resolved WHERE author IS NOT NULL)"
+
+
+def _cleanup_sql(src: str) -> str:
+    part = lambda c: f"""{c}_e AS (SELECT a, t, v, min(spot) AS spot FROM (SELECT a, t, r::BIGINT * 1000000000000000 + ord * 1000 + unnest(range(len({c}))) AS spot, unnest({c}) AS v FROM ranked) GROUP BY a, t, v),
+  {c}_u AS (SELECT a, t, string_agg(v, ' ~ ' ORDER BY spot) AS {c} FROM {c}_e GROUP BY a, t)"""
+    return f"""ranked AS (SELECT *, {_K0('author')} AS a, {_K0('title')} AS t, CASE match_type WHEN 'book' THEN 1 WHEN 'author' THEN 2 ELSE 4 END AS r FROM {src}),
+g AS (SELECT a, t, arg_min({{'author': author, 'title': title, 'm': match_type}}, {{'r': r, 'o': ord}}) AS b,
+  sum(cite_count)::BIGINT AS cite_count, count(*) AS merged, list_sort(list(DISTINCT title) FILTER (title <> '')) AS titles FROM ranked GROUP BY 1, 2), {part('contexts')}, {part('commentaries')}
+SELECT b.author AS author, b.title AS title, b.m AS match_type, cite_count, merged, CASE WHEN len(titles) > 1 THEN array_to_string(list_filter(titles, lambda x: x <> b.title), ' | ') ELSE '' END AS other_titles,
+  coalesce(contexts, '') AS contexts, coalesce(commentaries, '') AS commentaries FROM g LEFT JOIN contexts_u USING (a, t) LEFT JOIN commentaries_u USING (a, t)"""
+
+
+def _cleaned(df):
+    j = lambda c, sep=" ~ ": F.array_join(c, sep).alias(c)
+    return DD.cleanup_merge(df).select("author", "title", "match_type", "cite_count", "merged", j("other_titles", " | "), j("contexts"), j("commentaries"))
+
 
+def _typed(spark, d):
+    return resolved(spark, d, texts=True).where("author IS NOT NULL").withColumn("match_type", F.when(F.col("work_id").isNotNull(), "book").when(F.col("title") == "", "author").otherwise("not_found"))
 
-@R.add("cleanup_merge", f"""WITH {RESOLVED}, t AS (SELECT *, CASE WHEN work_id IS NOT NULL THEN 'book' WHEN title = '' THEN 'author' ELSE 'not_found' END AS match_type FROM resolved WHERE author IS NOT NULL),
-g AS (SELECT {_K0('author')} AS a, {_K0('title')} AS t, arg_min({{'author': author, 'title': title, 'm': match_type}}, {{'r': CASE match_type WHEN 'book' THEN 1 WHEN 'author' THEN 2 ELSE 4 END, 'o': ord}}) AS b,
-  sum(cite_count)::BIGINT AS cite_count, count(*) AS merged, list_sort(list_distinct(list(title))) AS titles FROM t GROUP BY 1, 2)
-SELECT b.author AS author, b.title AS title, b.m AS match_type, cite_count, merged, array_to_string(list_filter(titles, lambda x: x <> b.title), ' | ') AS other_titles FROM g""")
+
+@R.add("cleanup_merge", f"WITH {RESOLVED}, {_TYPED}, {_cleanup_sql('t')}")
 def cleanup_merge(spark, d):
-    r = resolved(spark, d).where("author IS NOT NULL").withColumn("match_type", F.when(F.col("work_id").isNotNull(), "book").when(F.col("title") == "", "author").otherwise("not_found"))
-    return DD.cleanup_merge(r)
+    return _cleaned(_typed(spark, d))
+
+
+# Clean-up maps made from the list: initials to full names, ampersands spelt out, one entry misattributed, one removed.
+_FIXES = "fixes AS (SELECT lower(substr(name, 1, 1) || '. ' || split_part(name, ' ', -1)) AS v, min(name) AS c FROM canonical_authors GROUP BY 1), wrong AS (SELECT lower(split_part(name, ' ', -1)) AS ma, 'the' AS mt, 'Somebody Else' AS fa FROM canonical_authors WHERE author_id = 1), gone AS (SELECT lower(name) AS g FROM canonical_authors WHERE author_id = 2)"
+_ACTED = f"""acted AS (SELECT t.* EXCLUDE (author), coalesce(fa, c, trim(author, ' ')) AS author, CASE WHEN g IS NOT NULL OR trim(author, ' ') = '' THEN 'removed' WHEN fa IS NOT NULL THEN 'misattributed' WHEN coalesce(c, trim(author, ' ')) <> author THEN 'renamed' ELSE 'kept' END AS action
+  FROM t LEFT JOIN gone ON g = lower(trim(author, ' ')) LEFT JOIN fixes ON v = lower(trim(author, ' ')) LEFT JOIN wrong ON contains(lower(trim(author, ' ')), ma) AND contains(lower(title), mt))"""
+
+
+def _maps(spark, d):
+    a = table(spark, d, "canonical_authors")
+    last = F.element_at(F.split("name", " "), -1)
+    fixes = a.select(F.concat(F.substring("name", 1, 1), F.lit(". "), last).alias("variant"), F.col("name").alias("canonical"))
+    titles = a.limit(0).select(F.col("name").alias("typed"), F.col("name").alias("right"))
+    wrong = a.where("author_id = 1").select(F.lower(last).alias("match_author"), F.lit("the").alias("match_title"), F.lit("Somebody Else").alias("fix_author"), F.lit(False).alias("remove"))
+    return fixes, titles, wrong, a.where("author_id = 2").select("name")
+
+
+@R.add("up_cleanup", f"WITH {RESOLVED}, {_TYPED}, {_FIXES}, {_ACTED}, s AS (SELECT * FROM acted WHERE action <> 'removed'), {_cleanup_sql('s')}")
+def up_cleanup(spark, d):
+    acted = DD.clean_up(_typed(spark, d), *_maps(spark, d))
+    return _cleaned(acted.where("action <> 'removed'"))
+
+
+@R.add("up_cleanup_stats", f"WITH {RESOLVED}, {_TYPED}, {_FIXES}, {_ACTED} SELECT action, count(*) AS n FROM acted GROUP BY 1")
+def up_cleanup_stats(spark, d):
+    return DD.clean_up(_typed(spark, d), *_maps(spark, d)).groupBy("action").agg(F.count("*").alias("n"))
 
 
 _VT = _viewer("title")
 
 
+_META = ("title", "title_without_series", "authors", "publication_year", "publication_month", "publication_day", "publisher", "num_pages", "book_format", "isbn", "isbn13", "average_rating", "ratings_count", "text_reviews_count", "description", "link", "catalog_source")
+_RICH = " + ".join(f"({f} IS NOT NULL)::INT" for f in _META)
+
+
 @R.add("book_redirects", f"""WITH {BOOKS}, k AS (SELECT author, book_id, coalesce('work:' || nullif(work_id, ''), 'title:' || {_VT}) AS k,
-  (publication_year IS NOT NULL)::INT + (description IS NOT NULL)::INT + (ratings_count IS NOT NULL)::INT AS rich FROM books WHERE author IS NOT NULL),
+  {_RICH} AS rich FROM books WHERE author IS NOT NULL),
 kept AS (SELECT author, k, arg_max(book_id, {{'r': rich, 'o': -book_id}}) AS kept_id FROM k WHERE k IS NOT NULL GROUP BY 1, 2)
 SELECT k.author, k.book_id, kept_id FROM k JOIN kept USING (author, k) WHERE k.book_id <> kept_id""")
 def book_redirects(spark, d):
-    b = books(spark, d).where("author IS NOT NULL")
-    rich = F.col("publication_year").isNotNull().cast("int") + F.col("description").isNotNull().cast("int") + F.col("ratings_count").isNotNull().cast("int")
-    return DD.editions(b.withColumns({"richness": rich, "ord": F.col("book_id")}))[1]
+    b = books(spark, d, "work_id", *_META).where("author IS NOT NULL")
+    return DD.editions(b.select("author", "book_id", "work_id", "title", DD.richness(b, list(_META)).alias("richness"), F.col("book_id").alias("ord")))[1]
 
 
 @R.add("author_key_groups", f"WITH {CITATIONS} SELECT {_AK % ('author', chr(39) + '[.,]' + chr(39), chr(39) * 2, chr(39) + 'g' + chr(39))} AS key, count(*) AS n, count(DISTINCT author) AS spellings FROM cites WHERE author IS NOT NULL GROUP BY 1")

@@ -87,20 +87,24 @@ def _life_dates(spark, d):
 
 
 _LABEL = """CASE WHEN b0 IS NULL OR d0 IS NULL THEN NULL
-  WHEN b0 > 0 AND d0 < 0 AND abs(d0) - b0 BETWEEN 1 AND 119 THEN 'death_sign' WHEN b0 < 0 AND d0 > 0 AND d0 - abs(b0) BETWEEN 1 AND 119 THEN 'birth_sign'
-  WHEN b0 < 0 AND d0 < 0 AND d0 < b0 AND abs(d0) - abs(b0) BETWEEN 1 AND 119 THEN 'both_signs' WHEN b0 < 0 AND d0 < 0 AND d0 < b0 THEN 'bc_order'
-  WHEN b0 > 0 AND d0 < 0 THEN 'death_lost' WHEN b0 < 0 AND d0 > 0 AND NOT abs(b0) + d0 BETWEEN 1 AND 119 THEN 'birth_lost'
-  WHEN b0 > 0 AND d0 > 0 AND b0 > d0 THEN 'order' WHEN b0 > 0 AND d0 > 0 AND d0 - b0 > 200 THEN 'span' END"""
+  WHEN b0 > 0 AND d0 < 0 THEN CASE WHEN abs(d0) - b0 BETWEEN 1 AND 119 THEN 'sign_error_death' ELSE 'wrong_person_death' END
+  WHEN b0 < 0 AND d0 > 0 AND d0 - abs(b0) BETWEEN 1 AND 119 THEN 'sign_error_birth' WHEN b0 < 0 AND d0 > 0 AND NOT abs(b0) + d0 BETWEEN 1 AND 119 THEN 'wrong_person_birth'
+  WHEN b0 < 0 AND d0 < 0 AND d0 < b0 THEN CASE WHEN abs(d0) - abs(b0) BETWEEN 1 AND 119 THEN 'sign_error_both' ELSE 'wrong_person_both_neg' END
+  WHEN b0 > 0 AND d0 > 0 AND b0 > d0 THEN 'wrong_person_both' WHEN b0 > 0 AND d0 > 0 AND d0 - b0 > 200 THEN 'implausible_lifespan' END"""
+_NO_BIRTH = "('wrong_person_birth', 'wrong_person_both_neg', 'wrong_person_both', 'implausible_lifespan')"
+_NO_DEATH = "('wrong_person_death', 'wrong_person_both_neg', 'wrong_person_both', 'implausible_lifespan')"
 
 
-@R.add("validate_dates", f"""WITH x AS (SELECT author_id, b0, d0, {_LABEL} AS label FROM ({_DATES}))
-SELECT author_id, label,
-  (CASE WHEN label IN ('bc_order', 'order', 'span', 'birth_lost') THEN NULL WHEN label IN ('birth_sign', 'both_signs') THEN abs(b0) ELSE b0 END)::INT AS birth_year,
-  (CASE WHEN label IN ('bc_order', 'order', 'span', 'death_lost') THEN NULL WHEN label IN ('death_sign', 'both_signs') THEN abs(d0) ELSE d0 END)::INT AS death_year FROM x""")
+def checked_sql(src: str, keys: str) -> str:
+    """``keys, label, birth_year, death_year`` of ``b0, d0`` after the date rules."""
+    return f"""SELECT {keys}, label,
+  (CASE WHEN label IN {_NO_BIRTH} THEN NULL WHEN label IN ('sign_error_birth', 'sign_error_both') THEN abs(b0) ELSE b0 END)::INT AS birth_year,
+  (CASE WHEN label IN {_NO_DEATH} THEN NULL WHEN label IN ('sign_error_death', 'sign_error_both') THEN abs(d0) ELSE d0 END)::INT AS death_year FROM (SELECT *, {_LABEL} AS label FROM {src})"""
+
+
+@R.add("validate_dates", checked_sql(f"({_DATES})", "author_id"))
 def validate_dates(spark, d):
-    x = _life_dates(spark, d)
-    v = D.validate_dates(F.col("b0"), F.col("d0"))
-    return x.select("author_id", D.date_case(F.col("b0"), F.col("d0")).alias("label"), v["birth_year"].alias("birth_year"), v["death_year"].alias("death_year"))
+    return _life_dates(spark, d).select("author_id", D.checked_dates(F.col("b0"), F.col("d0")).alias("v")).select("author_id", "v.label", "v.birth_year", "v.death_year")
 
 
 @R.add("date_fix_counts", f"SELECT label, count(*) AS n FROM (SELECT {_LABEL} AS label FROM ({_DATES})) WHERE label IS NOT NULL GROUP BY label")
@@ -117,18 +121,26 @@ _YTEXT = """CASE book_id % 6 WHEN 0 THEN publication_year::VARCHAR WHEN 1 THEN a
   WHEN 3 THEN '-' || lpad(abs(publication_year)::VARCHAR, 4, '0') WHEN 4 THEN lpad(abs(publication_year)::VARCHAR, 4, '0') || '-05-06T00:00:00' ELSE abs(publication_year)::VARCHAR || ' AD' END"""
 
 
-def _year_texts(spark, d):
-    """Publication years in the six ways in which maps spell them."""
+def spelt_years(df):
+    """``(book_id, raw)``: years in the six ways in which maps spell them."""
     y, a = F.col("publication_year"), F.abs("publication_year").cast("string")
     four, k = F.lpad(a, 4, "0"), F.col("book_id") % 6
     text = F.when(k == 0, y.cast("string")).when(k == 1, F.concat(a, F.lit(" BC"))).when(k == 2, F.concat(four, F.lit("-01-01"))).when(k == 3, F.concat(F.lit("-"), four)).when(
         k == 4, F.concat(four, F.lit("-05-06T00:00:00"))).otherwise(F.concat(a, F.lit(" AD")))
-    return books(spark, d, "publication_year").select("book_id", text.alias("raw"))
+    return df.select("book_id", text.alias("raw"))
+
+
+def _year_texts(spark, d):
+    return spelt_years(books(spark, d, "publication_year"))
 
 
 _YT = f"WITH {BOOKS}, y AS (SELECT book_id, {_YTEXT} AS raw FROM books)"
 
 
+PARSE = r"""(CASE WHEN contains(raw, 'BC') THEN -try_cast(nullif(regexp_replace(raw, '[^0-9]', '', 'g'), '') AS INT)
+  WHEN regexp_extract(raw, '^-?([0-9]{4})', 1) <> '' THEN try_cast(regexp_extract(raw, '^-?([0-9]{4})', 1) AS INT) ELSE try_cast(nullif(regexp_extract(raw, '^(-?[0-9]+)', 1), '') AS INT) END)::INT"""
+
+
 @R.add("parse_year", rf"""{_YT} SELECT book_id, (CASE WHEN contains(raw, 'BC') THEN -try_cast(nullif(regexp_replace(raw, '[^0-9]', '', 'g'), '') AS INT)
   WHEN regexp_extract(raw, '^-?([0-9]{{4}})', 1) <> '' THEN try_cast(regexp_extract(raw, '^-?([0-9]{{4}})', 1) AS INT) ELSE try_cast(nullif(regexp_extract(raw, '^(-?[0-9]+)', 1), '') AS INT) END)::INT AS year FROM y""")
 def parse_year(spark, d):
@@ -188,3 +200,113 @@ def excerpt_years(spark, d):
 @R.add("citation_marks", r"SELECT doc_id, regexp_replace(text, '\[[A-Za-z0-9_]+\]', '', 'g') AS value FROM documents")
 def citation_marks(spark, d):
     return table(spark, d, "documents").select("doc_id", X.strip_marks(F.col("text")).alias("value"))
+
+
+@R.add("get_year", f"{_YT} SELECT book_id, nullif(CASE WHEN contains(raw, 'BC') THEN -try_cast(nullif(regexp_replace(raw, '[^0-9]', '', 'g'), '') AS INT) WHEN regexp_extract(raw, '^-?([0-9]{{4}})', 1) <> '' THEN try_cast(regexp_extract(raw, '^-?([0-9]{{4}})', 1) AS INT) ELSE try_cast(nullif(regexp_extract(raw, '^(-?[0-9]+)', 1), '') AS INT) END, 0)::INT AS year FROM y".replace("{{", "{").replace("}}", "}"))
+def get_year(spark, d):
+    return _year_texts(spark, d).select("book_id", D.get_year(F.col("raw")).alias("year"))
+
+
+@R.add("viewer_year", f"{_YT} SELECT book_id, (CASE WHEN contains(raw, 'BC') THEN -try_cast(nullif(regexp_replace(raw, '[^0-9]', '', 'g'), '') AS INT) ELSE try_cast(nullif(regexp_extract(raw, '^(-?[0-9]+)(-[0-9][0-9](-[0-9][0-9](T.*)?)?)?$', 1), '') AS INT) END)::INT AS year FROM y")
+def viewer_year(spark, d):
+    return _year_texts(spark, d).select("book_id", D.viewer_year(F.col("raw")).alias("year"))
+
+
+@R.add("person_years", rf"WITH {RAW} SELECT raw_id, nullif(regexp_extract(citation_excerpt, '([0-9][0-9][0-9][0-9]?)', 1), '')::INT * CASE WHEN regexp_matches(citation_excerpt, '[0-9][0-9][0-9][0-9]? *BCE?') THEN -1 ELSE 1 END AS year, nullif(regexp_extract(citation_excerpt, '(-?[0-9][0-9][0-9][0-9]?)', 1), '')::INT AS answered FROM raw WHERE regexp_matches(citation_excerpt, '[0-9][0-9][0-9]')")
+def person_years(spark, d):
+    e = F.col("citation_excerpt")
+    return raw_rows(spark, d).select("raw_id", D.person_year_in_text(e).alias("year"), D.answered_year(e).alias("answered")).where("year IS NOT NULL")
+
+
+@R.add("flip_sign", f"SELECT author_id, abs(b0)::INT AS birth_year, abs(d0)::INT AS death_year FROM ({_DATES}) WHERE b0 BETWEEN -2025 AND -1000 UNION ALL SELECT author_id, b0::INT, d0::INT FROM ({_DATES}) WHERE b0 IS NULL OR NOT b0 BETWEEN -2025 AND -1000")
+def flip_sign(spark, d):
+    return _life_dates(spark, d).select("author_id", D.flip_sign(F.col("b0"), F.col("d0")).alias("v")).select("author_id", "v.*")
+
+
+_NAT = "CASE " + " ".join(f"WHEN contains(c, '{n}') THEN '{n}'" for n in X.NATIONALITIES) + " END"
+
+
+@R.add("nationality", f"SELECT author_id, coalesce(nullif(nationality, ''), list_filter(list_transform(cats, lambda c: {_NAT}), lambda n: n IS NOT NULL)[1]) AS value FROM (SELECT author_id, nationality, [coalesce(main_genre, ''), CASE author_id % 4 WHEN 0 THEN 'Greek and Roman poets' WHEN 1 THEN '20th-century Irish writers' ELSE '1900 births' END, 'French people'] AS cats FROM canonical_authors)")
+def nationality(spark, d):
+    k = F.col("author_id") % 4
+    cats = F.array(F.coalesce("main_genre", F.lit("")), F.when(k == 0, "Greek and Roman poets").when(k == 1, "20th-century Irish writers").otherwise("1900 births"), F.lit("French people"))
+    return table(spark, d, "canonical_authors").select("author_id", X.nationality(F.col("nationality"), cats).alias("value"))
+
+
+_KIND = "CASE " + " ".join(f"WHEN {{0}} {{1}} '{w}' {{2}} THEN '{k}'" for w, k in G.BOX_KINDS) + " END"
+_BOX = "CASE author_id % 5 WHEN 0 THEN ['Writer <!-- novelist -->'] WHEN 1 THEN ['infobox x', 'medical person'] WHEN 2 THEN ['philosopher of science'] WHEN 3 THEN ['settlement'] END"
+_BOXES = "list_transform(b, lambda x: lower(trim(regexp_replace(x, '<!--.*?-->', '', 'g'))))"
+_EXACT = "CASE " + " ".join(f"WHEN x = '{w}' THEN '{k}'" for w, k in G.BOX_KINDS) + " END"
+_PART = "CASE " + " ".join(f"WHEN contains(x, '{w}') THEN '{k}'" for w, k in G.BOX_KINDS) + " END"
+
+
+@R.add("box_kinds", f"SELECT author_id, CASE WHEN b IS NOT NULL THEN coalesce(list_filter(list_transform({_BOXES}, lambda x: {_EXACT}), lambda k: k IS NOT NULL)[1], list_filter(list_transform({_BOXES}, lambda x: {_PART}), lambda k: k IS NOT NULL)[1], 'Other') END AS kind FROM (SELECT author_id, {_BOX} AS b FROM canonical_authors)")
+def box_kinds(spark, d):
+    k, one = F.col("author_id") % 5, lambda *x: F.array(*[F.lit(v) for v in x])
+    boxes = F.when(k == 0, one("Writer <!-- novelist -->")).when(k == 1, one("infobox x", "medical person")).when(k == 2, one("philosopher of science")).when(k == 3, one("settlement"))
+    return table(spark, d, "canonical_authors").select("author_id", G.box_kind(boxes).alias("kind"))
+
+
+@R.add("relevant_people", "SELECT author_id FROM canonical_authors WHERE regexp_matches(lower(coalesce(main_genre, '') || ' ' || CASE author_id % 3 WHEN 0 THEN 'American novelists' WHEN 1 THEN 'Painters' ELSE 'Historians of art' END), '" + "|".join(X.OCCUPATIONS) + "')")
+def relevant_people(spark, d):
+    cats = F.array(F.when(F.col("author_id") % 3 == 0, "American novelists").when(F.col("author_id") % 3 == 1, "Painters").otherwise("Historians of art"))
+    return table(spark, d, "canonical_authors").where(X.relevant_person(F.array_compact(F.array("main_genre")), cats)).select("author_id")
+
+
+_FENCE = "```"
+_ANSWER = f"CASE event_id % 6 WHEN 0 THEN props WHEN 1 THEN 'Sure: {_FENCE}json ' || props || ' {_FENCE} done' WHEN 2 THEN 'the answer is ' || props || ' .' WHEN 3 THEN '<tool_call>' || props WHEN 4 THEN '  ' ELSE 'no json here' END"
+
+
+@R.add("salvage_json", f"SELECT event_id, CASE event_id % 6 WHEN 3 THEN '<tool_call>' || props WHEN 4 THEN '{{}}' WHEN 5 THEN '{{\"result\":\"UNPARSEABLE\",\"raw_response\":\"no json here\"}}' ELSE props END AS value FROM events")
+def salvage_json(spark, d):
+    k, p = F.col("event_id") % 6, F.col("props")
+    said = F.when(k == 0, p).when(k == 1, F.concat(F.lit(f"Sure: {_FENCE}json "), p, F.lit(f" {_FENCE} done"))).when(k == 2, F.concat(F.lit("the answer is "), p, F.lit(" ."))).when(k == 3, F.concat(F.lit("<tool_call>"), p)).when(k == 4, "  ").otherwise("no json here")
+    return table(spark, d, "events").select("event_id", X.salvage_json(said).alias("value"))
+
+
+@R.add("fact_lines", "SELECT author_id, 'b' || coalesce(birth_year, 0) AS born, 'd' || coalesce(death_year, 0) || ': x' AS died FROM canonical_authors")
+def fact_lines(spark, d):
+    """Born and died of the lines of an infobox; lines of no fact and earlier lines do not count."""
+    text = F.concat(F.lit("Born: earlier\nOccupation: poet\nbirth_date: b"), F.coalesce("birth_year", F.lit(0)).cast("string"), F.lit("\nDied: d"), F.coalesce("death_year", F.lit(0)).cast("string"), F.lit(": x"))
+    return table(spark, d, "canonical_authors").select("author_id", X.fact_lines(text, X.PERSON_LINES).alias("f")).select("author_id", "f.born", "f.died")
+
+
+@R.add("prompt_fields", f"WITH {RAW} SELECT raw_id, CASE WHEN contains(coalesce(title, ''), chr(10)) THEN NULL ELSE trim(trim(coalesce(title, ''), ' '), '\"') END AS title, trim(coalesce(author, ''), ' ') AS author FROM raw WHERE NOT contains(coalesce(title, '') || coalesce(author, ''), chr(10))")
+def prompt_fields(spark, d):
+    r = raw_rows(spark, d).where(~F.concat(F.coalesce("title", F.lit("")), F.coalesce("author", F.lit(""))).contains("\n"))
+    text = F.concat(F.lit("Find it.\nBook title: first\nBook title: "), F.coalesce("title", F.lit("")), F.lit("\nAuthor: "), F.coalesce("author", F.lit("")))
+    return r.select("raw_id", X.prompt_fields(text).alias("f")).select("raw_id", "f.title", "f.author")
+
+
+@R.add("id_list", "SELECT r_regionkey, unnest(list_filter(regexp_split_to_array(trim(replace(r_name || ', 12 7,' || r_regionkey, ',', ' ')), '\\s+'), lambda x: x <> '')) AS id FROM region")
+def id_list(spark, d):
+    text = F.concat(F.col("r_name"), F.lit(", 12 7,"), F.col("r_regionkey").cast("string"))
+    return table(spark, d, "region").select("r_regionkey", F.explode(X.id_list(text)).alias("id"))
+
+
+@R.add("in_view", "SELECT author_id, (x * 2.0 + 10.0) AS sx, (y * 2.0 - 20.0) AS sy FROM (SELECT author_id, (birth_year % 700)::DOUBLE AS x, (author_id % 97)::DOUBLE AS y FROM canonical_authors) WHERE x * 2.0 + 10.0 + 12.0 >= 0 AND x * 2.0 + 10.0 - 12.0 <= 800 AND y * 2.0 - 20.0 + 12.0 >= 0 AND y * 2.0 - 20.0 - 12.0 <= 100")
+def in_view(spark, d):
+    a = table(spark, d, "canonical_authors").select("author_id", (F.col("birth_year") % 700).cast("double").alias("x"), (F.col("author_id") % 97).cast("double").alias("y"))
+    sx, sy = G.to_screen(F.col("x"), F.col("y"), 2.0, 10.0, -20.0)
+    return a.where(G.in_view(F.col("x"), F.col("y"), F.lit(5.0), (2.0, 10.0, -20.0), (800.0, 100.0), 2.0)).select("author_id", sx.alias("sx"), sy.alias("sy"))
+
+
+@R.add("title_case", f"WITH {CITATIONS} SELECT ord, array_to_string(list_transform(range(1, length(author)::INT + 1), lambda i: CASE WHEN i = 1 OR NOT regexp_matches(lower(author)[i - 1], '\\p{{L}}') THEN upper(lower(author)[i]) ELSE lower(author)[i] END), '') AS value FROM cites WHERE author IS NOT NULL".replace("{{", "{").replace("}}", "}"))
+def title_case(spark, d):
+    return citations(spark, d).where("author IS NOT NULL").select("ord", X.title_case(F.col("author")).alias("value"))
+
+
+_LAST, _FIRST = (SQ.format(f"regexp_extract(author, '^([^,]*),(.*)$', {i})") for i in (1, 2))
+
+
+@R.add("query_uncomma", f"WITH {CITATIONS} SELECT ord, CASE WHEN contains(author, ',') AND {_LAST} <> '' AND {_FIRST} <> '' THEN {_FIRST} || ' ' || {_LAST} END AS value FROM cites")
+def query_uncomma(spark, d):
+    return citations(spark, d).select("ord", X.uncomma(F.col("author")).alias("value"))
+
+
+PARTICLE_SQL = "nullif(" + SQ.format("CASE " + " ".join(f"WHEN instr(lower(a), ' {p}') > 0 THEN substr(a, 1, instr(lower(a), ' {p}')) || substr(a, instr(lower(a), ' {p}') + {len(p) + 1})" for p in X.NAME_PARTICLES) + " " + " ".join(f"WHEN starts_with(lower(a), '{p}') THEN substr(a, {len(p) + 1})" for p in X.NAME_PARTICLES) + " END") + ", '')"
+
+
+@R.add("query_particle", f"WITH {CITATIONS} SELECT ord, {PARTICLE_SQL} AS value FROM (SELECT ord, author AS a FROM cites)")
+def query_particle(spark, d):
+    return citations(spark, d).select("ord", X.without_particle(F.col("author")).alias("value"))

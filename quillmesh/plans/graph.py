@@ -9,6 +9,7 @@ from ..functions import dates as D
 from ..functions.text import slug
 from ..operators import graph as G
 from ..operators.dedup import dedup_by_work
+from ..operators.tables import kept
 from .cleaning import RESOLVED, _merge_sql, resolved
 from .registry import BOOKS, CITATIONS, Registry, books, citations, table
 
@@ -79,12 +80,12 @@ def graph_book_nodes(spark, d):
 
 
 _NODES = """nodes AS (SELECT name, min(birth_year) AS birth_year, min(death_year) AS death_year, bool_or(s) AS is_source, CASE WHEN bool_or(s) THEN avg(y) END AS book_year FROM (
-  SELECT m.dst AS name, a.birth_year, a.death_year, false AS s, NULL::DOUBLE AS y FROM (SELECT DISTINCT dst FROM mart) m LEFT JOIN canonical_authors a ON a.name = m.dst AND a.author_id % 3 = 0
-  UNION ALL SELECT authors[1], NULL, NULL, true, publication_year FROM source_books WHERE authors[1] IS NOT NULL) GROUP BY name)"""
+  SELECT m.dst AS name, a.birth_year, a.death_year, false AS s, NULL::DOUBLE AS y FROM (SELECT DISTINCT dst FROM mart) m LEFT JOIN canonical_authors a ON a.name = m.dst
+  UNION ALL SELECT s.authors[1], a.birth_year, a.death_year, true, s.publication_year FROM source_books s LEFT JOIN canonical_authors a ON a.name = s.authors[1] WHERE s.authors[1] IS NOT NULL) GROUP BY name)"""
 
 
 def _nodes(spark, d):
-    """Everybody who cites or is cited, with the life dates the table has (the SQL twin reads a third of them, of cited authors only)."""
+    """Everybody who cites or is cited, with the life dates the table has."""
     known = table(spark, d, "canonical_authors").groupBy(F.col("name").alias("kn")).agg(F.min("birth_year").cast("int").alias("birth_year"), F.min("death_year").cast("int").alias("death_year"))
     cited = mart(spark, d).select(F.col("dst").alias("name")).distinct().select("name", F.lit(False).alias("s"), F.lit(None).cast("double").alias("y"))
     src = table(spark, d, "source_books").select(F.try_element_at("authors", F.lit(1)).alias("name"), F.lit(True).alias("s"), F.col("publication_year").cast("double").alias("y")).where("name IS NOT NULL")
@@ -118,29 +119,54 @@ def distribution_epochs(spark, d):
 
 @R.add("neighbourhood", f"WITH {MART} SELECT dst AS name, n_books FROM links WHERE src = {_TOP}")
 def neighbourhood(spark, d):
-    ls = links(spark, d)
+    ls = kept(links(spark, d))
     return ls.join(F.broadcast(busiest(ls)), F.col("src") == F.col("who")).select(F.col("dst").alias("name"), "n_books")
 
 
 @R.add("focus_by_book", f"WITH {MART}, h AS (SELECT grp AS book FROM cites GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) SELECT src, dst FROM mart JOIN h USING (book) WHERE src <> dst GROUP BY 1, 2")
 def focus_by_book(spark, d):
     hot = citations(spark, d).groupBy("group").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "group").limit(1).select(F.col("group").alias("hot"))
-    return links(spark, d).join(F.broadcast(hot), F.array_contains("source_books", F.col("hot"))).select("src", "dst")
+    one = mart(spark, d).join(F.broadcast(hot), F.col("book") == F.col("hot"))  # one row; filtered before the links are built
+    return G.author_links(one).select("src", "dst")
 
 
 @R.add("dim_sets", f"WITH {MART}, who AS (SELECT {_TOP} AS w), lit AS (SELECT dst AS n FROM links, who WHERE src = w UNION SELECT src FROM links, who WHERE dst = w UNION SELECT w FROM who), everyone AS (SELECT src AS name FROM links UNION SELECT dst FROM links) SELECT name FROM everyone WHERE name NOT IN (SELECT n FROM lit)")
 def dim_sets(spark, d):
-    ls = links(spark, d)
-    who = F.broadcast(busiest(ls))
-    lit = ls.join(who, F.col("src") == F.col("who")).select(F.col("dst").alias("l")).unionByName(ls.join(who, F.col("dst") == F.col("who")).select(F.col("src").alias("l"))).unionByName(busiest(ls).select(F.col("who").alias("l"))).distinct()
-    everyone = ls.select(F.col("src").alias("name")).unionByName(ls.select(F.col("dst").alias("name"))).distinct()
-    return everyone.join(lit, F.col("name") == F.col("l"), "left_anti")
+    ls = kept(links(spark, d))
+    who = kept(busiest(ls))
+    lit = ls.join(F.broadcast(who), F.col("who").isin(F.col("src"), F.col("dst"))).select(F.explode(F.array("src", "dst")).alias("l")).distinct()
+    return ls.select(F.explode(F.array("src", "dst")).alias("name")).distinct().join(lit, F.col("name") == F.col("l"), "left_anti")
+
+
+@R.add("dim_links", f"WITH {MART} SELECT src, dst, src = {_TOP} AS lit FROM links")
+def dim_links(spark, d):
+    """Links that the focus leaves lit, and the others."""
+    ls = kept(links(spark, d))
+    return G.out_links(ls, busiest(ls).withColumnRenamed("who", "name"))
+
+
+@R.add("panel_donut", f"WITH {MART}, b AS (SELECT CASE " + " ".join(f"WHEN birth_year < {b} THEN '{n}'" for b, n in D.EPOCHS) + f" ELSE 'Contemporary' END AS bucket FROM (SELECT DISTINCT dst FROM links WHERE src = {_TOP}) JOIN canonical_authors ON name = dst WHERE birth_year IS NOT NULL), c AS (SELECT bucket, count(*) AS n FROM b GROUP BY 1) SELECT bucket, n FROM c WHERE (SELECT count(*) FROM c) >= 3")
+def panel_donut(spark, d):
+    """Epochs of the authors that the busiest one cites; shown with three buckets or more."""
+    ls = kept(links(spark, d))
+    a = table(spark, d, "canonical_authors").where("birth_year IS NOT NULL").select(F.col("name").alias("dst"), D.epoch_of(F.col("birth_year")).alias("bucket"))
+    c = ls.join(F.broadcast(busiest(ls)), F.col("src") == F.col("who")).select("dst").distinct().join(a, "dst").groupBy("bucket").agg(F.count("*").alias("n"))
+    return c.withColumn("k", F.count("*").over(W.partitionBy(F.lit(1)))).where("k >= 3").drop("k")  # at most nine rows
+
+
+@R.add("panel_works", f"WITH {MART}, {BOOKS}, w AS (SELECT DISTINCT dst, title FROM mart WHERE src = {_TOP} AND title <> ''), y AS (SELECT title, min(publication_year) FILTER (publication_year <> 0) AS year FROM books GROUP BY 1) SELECT dst, w.title, year::INT AS year FROM w LEFT JOIN y ON y.title = w.title")
+def panel_works(spark, d):
+    """Works that the busiest author cites, by year, unknown years last."""
+    m = kept(mart(spark, d))
+    y = books(spark, d, "title", "publication_year").where("title IS NOT NULL").groupBy("title").agg(F.min(F.nullif("publication_year", F.lit(0))).cast("int").alias("year"))
+    w = m.join(F.broadcast(busiest(G.author_links(m))), F.col("src") == F.col("who")).where("title <> ''").select("dst", "title").distinct()
+    return w.join(y, "title", "left").select("dst", "title", "year").orderBy(F.asc_nulls_last("year"), "dst", "title")
 
 
 @R.add("citation_panel", f"WITH {MART}, p AS (SELECT dst, count(DISTINCT title) AS works, sum(cite_count)::BIGINT AS mentions FROM mart WHERE src = {_TOP} GROUP BY dst), b AS (SELECT name, min(birth_year) AS birth_year FROM canonical_authors GROUP BY 1) SELECT dst, works, mentions, birth_year, row_number() OVER (ORDER BY birth_year ASC NULLS LAST, dst)::INT AS pos FROM p LEFT JOIN b ON b.name = dst")
 def citation_panel(spark, d):
-    m = mart(spark, d)
-    p = m.join(F.broadcast(busiest(links(spark, d))), F.col("src") == F.col("who")).groupBy("dst").agg(F.countDistinct("title").alias("works"), F.sum("cite_count").alias("mentions"))
+    m = kept(mart(spark, d))
+    p = m.join(F.broadcast(busiest(G.author_links(m))), F.col("src") == F.col("who")).groupBy("dst").agg(F.countDistinct("title").alias("works"), F.sum("cite_count").alias("mentions"))
     b = table(spark, d, "canonical_authors").groupBy("name").agg(F.min("birth_year").alias("birth_year"))
     # The panel of one author: its rows are the feature, so one sorted window is enough.
     return p.join(b, p["dst"] == b["name"], "left").select("dst", "works", "mentions", "birth_year").withColumn("pos", F.row_number().over(W.orderBy(F.asc_nulls_last("birth_year"), "dst")))
@@ -179,3 +205,9 @@ def author_mean_years(spark, d):
 @R.add("dataset_slugs", "SELECT source_book_id, trim(regexp_replace(lower(title), '[^a-z0-9]+', '_', 'g'), '_') AS slug FROM source_books")
 def dataset_slugs(spark, d):
     return table(spark, d, "source_books").select("source_book_id", slug(F.col("title")).alias("slug"))
+
+
+@R.add("cover_paths", "SELECT source_book_id || '/' || unnest(authors) AS cover FROM source_books")
+def cover_paths(spark, d):
+    """Paths of what a registry lists under each dataset (the authors stand in for covers)."""
+    return G.cover_paths(table(spark, d, "source_books").select(F.col("source_book_id").alias("path"), F.col("authors").alias("covers")))

@@ -35,12 +35,16 @@ def once(df: DataFrame, id_col: str) -> DataFrame:
     return df.groupBy(id_col).agg(F.min_by(F.struct(*cols), "ingested_at").alias("_r")).select(id_col, "_r.*")
 
 
-def citations(spark: SparkSession, d: str) -> DataFrame:
-    """Working citations: ``group, ord, title, author, canonical_author, cite_count, contexts, commentaries``."""
-    df = table(spark, d, "citations").select("cit_id", "source_book_id", "title", "author", "canonical_author", "cite_count", "contexts", "commentaries", "ingested_at")
+def citations(spark: SparkSession, d: str, texts: bool = False) -> DataFrame:
+    """Working citations: ``group, ord, title, author, canonical_author, cite_count``, with ``texts`` also ``contexts, commentaries``.
+
+    Only the columns wanted are read and shuffled.
+    """
+    more = ("contexts", "commentaries") if texts else ()
+    df = table(spark, d, "citations").select("cit_id", "source_book_id", "title", "author", "canonical_author", "cite_count", *more, "ingested_at")
     return once(df, "cit_id").select(
         F.col("source_book_id").alias("group"), F.col("cit_id").alias("ord"), F.coalesce("title", F.lit("")).alias("title"), "author", "canonical_author",
-        F.col("cite_count").cast("bigint").alias("cite_count"), "contexts", "commentaries",
+        F.col("cite_count").cast("bigint").alias("cite_count"), *more,
     )
 
 

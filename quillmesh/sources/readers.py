@@ -13,15 +13,18 @@ NOT_GRAPHS = ("manifest.json", "datasets.json", "authors_metadata.json", "origin
 
 
 def texts(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:
-    """``(book_id, title, text)`` of a folder or file; names like ``Title_of_book_123.txt``.
+    """``(book_id, title, text, numbered)`` of a folder or file; names like ``Title_of_book_123.txt``.
 
-    Without a number in the name the book id is null and the stem is the title.
+    Without a number the stem is the id, and its part before a double underscore,
+    underscores as blanks, the title to look up.
     """
     raw = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(path)
     stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
     number = F.nullif(F.regexp_extract(stem, r"_(\d+)$", 1), F.lit(""))
-    title = F.when(number.isNotNull(), F.trim(F.replace(F.regexp_extract(stem, r"^(.*)_\d+$", 1), F.lit("_"), F.lit(" ")))).otherwise(stem)
-    return raw.select(number.alias("book_id"), title.alias("title"), F.col("value").alias("text")).orderBy("title")
+    named = F.regexp_replace(stem, r"_\d+$", "")
+    loose = F.trim(F.split_part(F.replace(stem, F.lit("_"), F.lit(" ")), F.lit("  "), F.lit(1)))
+    title = F.when(number.isNotNull(), F.replace(named, F.lit("_"), F.lit(" "))).otherwise(loose)
+    return raw.select(F.coalesce(number, stem).alias("book_id"), title.alias("title"), F.col("value").alias("text"), number.isNotNull().alias("numbered"))
 
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -36,10 +39,10 @@ def json_documents(spark: SparkSession, path: str, schema: str = schemas.RAW_DOC
 
 
 def from_manifest(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    """The documents that ``manifest.json`` lists; the list itself is small by design."""
+    """The documents that ``manifest.json`` lists."""
     listed = spark.read.option("wholetext", True).text(f"{folder}/manifest.json").select(F.explode(F.from_json("value", "array<string>")).alias("f"))
-    files = [f"{folder}/{r.f}" for r in listed.toLocalIterator()]
-    return spark.read.schema(schema).option("multiLine", True).json(files)
+    docs = spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", "*.json").json(folder).withColumn("file_name", F.col("_metadata.file_name"))
+    return docs.join(listed, F.col("file_name") == F.col("f"), "left_semi")
 
 
 def key_values(spark: SparkSession, path: str, value: str = "string") -> DataFrame:
@@ -121,16 +124,50 @@ def infobox_names(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(r"(?i)\{\{Infobox\s*([^\n|]+)"), F.lit(1)), lambda x: F.trim(x))
 
 
+#: What shows a page of namesakes, a person's category and a person's box (any case).
+NAMESAKES = r"\{\{(?:disambiguation|hndis|geodis)"
+PEOPLE_CATEGORIES = "births|living people|deaths"
+PEOPLE_BOXES = "person|scientist|writer|artist|philosopher|biography|academic|politician"
+
+
 def is_person(text: Column) -> Column:
     """A page about a person: by categories or boxes, and no list of namesakes."""
-    cats, boxes = categories(text), infobox_names(text)
-    named = F.exists(cats, lambda c: F.lower(c).rlike(r"births|deaths|living people")) | F.exists(boxes, lambda b: F.lower(b).rlike(r"person|scientist|philosopher|writer|artist|royalty|officeholder|saint|military"))
-    return named & ~F.exists(cats, lambda c: F.lower(c).contains("disambiguation"))
+    named = F.exists(categories(text), lambda c: F.lower(c).rlike(PEOPLE_CATEGORIES)) | F.exists(infobox_names(text), lambda b: F.lower(b).rlike(PEOPLE_BOXES))
+    return named & ~F.lower(text).rlike(NAMESAKES)
 
 
 def category_year(text: Column, kind: str) -> Column:
-    """Year of the last 'births' or 'deaths' category; BC is negative."""
+    """Year of the last category that names 'births' or 'deaths' after a year; BC is negative."""
+    pattern = rf"(?i)([0-9]{{1,4}})(?:\s+(BC))?\s+{kind}"
     years = F.transform(categories(text), lambda c: F.when(
-        c.rlike(rf"^[0-9]+( BC)? {kind}$"), F.regexp_extract(c, r"^([0-9]+)", 1).cast("int") * F.when(c.contains(" BC "), -1).otherwise(1)
+        c.rlike(pattern), F.regexp_extract(c, pattern, 1).cast("int") * F.when(F.regexp_extract(c, pattern, 2) != "", -1).otherwise(1)
     ))
     return F.try_element_at(F.filter(years, lambda y: y.isNotNull()), F.lit(-1))
+
+
+def people_pages(pages: DataFrame) -> DataFrame:
+    """People of a wiki dump ``(title, ns, page_id, rev_id, redirect, text)``: articles with text that are no redirects."""
+    text = F.col("text")
+    return pages.where("ns = 0 AND NOT redirect AND text IS NOT NULL").where(is_person(text)).select(
+        "title", "page_id", "rev_id", categories(text).alias("categories"), infobox_names(text).alias("infoboxes"),
+        category_year(text, "births").alias("birth_year"), category_year(text, "deaths").alias("death_year"),
+    )
+
+
+def page_digest(html: Column, url: Column) -> Column:
+    """Title, facts of under 500 letters and the first three paragraphs of over 50 letters among the first four."""
+    title = F.nullif(plain(F.regexp_extract(html, r'(?s)id="firstHeading"[^>]*>(.*?)</h1>', 1)), F.lit(""))
+    facts = F.filter(F.map_entries(infobox(html)), lambda e: F.length(e["value"]) < 500)
+    return F.struct(F.coalesce(title, F.lit("Unknown")).alias("title"), url.alias("url"), facts.alias("facts"), paragraphs(html, 50, 4, 3).alias("summary"))
+
+
+def search_page(html: Column, url: Column) -> Column:
+    """``struct<direct, hits>``: whether the search went straight to an article, else the headings found."""
+    direct = url.contains("/wiki/") & ~url.contains("Special:Search")
+    return F.struct(direct.alias("direct"), F.when(direct, F.array().cast("array<string>")).otherwise(headings(html)).alias("hits"))
+
+
+def all_libraries(spark: SparkSession, folders: list[str], schema: str = schemas.RAW_DOCUMENT) -> DataFrame:
+    """The documents of several result folders in one table, each with its ``library``."""
+    docs = spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", "*.json").json(folders)
+    return docs.withColumns({"file_name": F.col("_metadata.file_name"), "library": F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)}).where(~F.col("file_name").isin(*NOT_GRAPHS))

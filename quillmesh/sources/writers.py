@@ -10,9 +10,9 @@ from ..operators.enrich import upsert
 from ..operators.search import postings
 
 
-def stage_table(df: DataFrame, path: str, partition: str | None = None, fmt: str = "parquet") -> None:
-    """A stage's result; only the partitions written are replaced."""
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").format(fmt)
+def stage_table(df: DataFrame, path: str, partition: str | None = None, fmt: str = "parquet", append: bool = False) -> None:
+    """A stage's result; only the partitions written are replaced, with ``append`` none."""
+    w = df.write.mode("append" if append else "overwrite").option("partitionOverwriteMode", "dynamic").format(fmt)
     (w.partitionBy(partition) if partition else w).save(path)
 
 
@@ -22,9 +22,10 @@ def key_values(df: DataFrame, path: str) -> None:
 
 
 def search_index(books: DataFrame, path: str, id_col: str = "book_id", fields: tuple[str, ...] = ("title",), parts: int = 200) -> None:
-    """Postings clustered by token, beside a table of one row per id (the first)."""
+    """Postings clustered by token, beside a table of one row per id (of repeated ones the smallest)."""
+    books = books.groupBy(id_col).agg(F.min(F.struct(*[c for c in books.columns if c != id_col])).alias("r")).select(id_col, "r.*")
     postings(books, id_col, list(fields)).repartition(parts, "token").sortWithinPartitions("token", "doc", "pos").write.mode("overwrite").parquet(f"{path}/postings")
-    books.dropDuplicates([id_col]).write.mode("overwrite").parquet(f"{path}/rows")
+    books.write.mode("overwrite").parquet(f"{path}/rows")
 
 
 def register(spark: SparkSession, registry: DataFrame, name: str, path: str, covers: list[str]) -> DataFrame:
@@ -37,3 +38,11 @@ def metadata_lines(books: DataFrame, path: str) -> None:
     """Text dump of ``(year, title, authors, book_id)`` by year, unknown years last."""
     line = F.concat_ws(" | ", F.coalesce(F.col("year").cast("string"), F.lit("?")), "title", "authors", F.col("book_id").cast("string"))
     books.orderBy(F.coalesce("year", F.lit(9999)), "book_id").select(line.alias("value")).write.mode("overwrite").text(path)
+
+
+def finished(spark: SparkSession, path: str) -> DataFrame | None:
+    """``(book_id)`` of the books whose results stand at ``path``; None where nothing does."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        return None
+    return spark.read.parquet(path).select(F.col("group").alias("book_id")).distinct()
