@@ -63,7 +63,7 @@ class SuffixAutomaton:
         for v, p in enumerate(self.link):
             if p >= 0:
                 self.children[p].append(v)
-        self._seen: dict[int, list[tuple[int, int]]] = {}
+        self.shortest = min((len(w) for _, w in self.items), default=0)
 
     def _state(self, length: int, link: int, nxt: dict[int, int]) -> int:
         self.next.append(nxt)
@@ -96,14 +96,12 @@ class SuffixAutomaton:
 
     def occurrences(self, state: int) -> list[tuple[int, int]]:
         """(item, last position) of every place where the state's words stand."""
-        if state not in self._seen:
-            found, todo = [], [state]
-            while todo:
-                v = todo.pop()
-                found.extend(self.ends[v])
-                todo.extend(self.children[v])
-            self._seen[state] = found
-        return self._seen[state]
+        found, todo = [], [state]
+        while todo:
+            v = todo.pop()
+            found.extend(self.ends[v])
+            todo.extend(self.children[v])
+        return found
 
     def matches(self, ws: list[str], min_run: int) -> list[tuple[int, int, int]]:
         """Maximal matches ``(document end, state, length)`` of a document."""
@@ -138,19 +136,23 @@ class SuffixAutomaton:
     def runs(self, ws: list[str], min_run: int, coverage: float) -> dict[int, list[tuple[int, int, int]]]:
         """item -> [(document start, item start, length)] of the items in reach.
 
-        In reach are items with a run of ``min_run + 2`` words and runs that add
-        up to half the coverage wanted; bridged gaps cannot supply more.
+        In reach are items with runs of ``min_run`` words that add up to half the
+        coverage wanted; bridged gaps cannot supply more.
         """
         found = self.matches(ws, min_run)
-        if not any(n >= min_run + 2 for _, _, n in found):
+        if 2 * sum(n for _, _, n in found) < coverage * self.shortest:
             return {}
-        near = {k for _, v, n in found if n >= min_run + 2 for k, _ in self.occurrences(v)}
+        total: dict[int, int] = defaultdict(int)
+        for _, v, n in found:
+            for k in {k for k, _ in self.occurrences(v)}:
+                total[k] += n
+        near = {k for k, n in total.items() if 2 * n >= coverage * len(self.items[k][1])}
         out: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-        for end, v, n in found:
+        for end, v, n in found if near else ():
             for k, at in self.occurrences(v):
                 if k in near:
                     out[k].append((end - n, at - n + 1, n))
-        return {k: r for k, r in out.items() if 2 * sum(n for _, _, n in r) >= coverage * len(self.items[k][1])}
+        return out
 
 
 def _alike(a: str, b: str) -> bool:
@@ -177,19 +179,24 @@ def _between(doc: list[str], item: list[str]) -> int:
     return row[-1]
 
 
-GAP_ITEM, GAP_DOC, MIN_STRETCH = 8, 14, 5
+#: Words between two runs of one stretch at most, in the item and in the document; words of a stretch that counts at
+#: least; words that a stretch may be prolonged by, spelling aside, at either end.
+GAP_ITEM, GAP_DOC, MIN_STRETCH, EDGE = 8, 14, 5, 12
 
 
-def covered(doc: list[str], item: list[str], runs: list[tuple[int, int, int]], max_stretches: int = MAX_STRETCHES) -> float:
-    """Share of the item's words that the best chain of runs reproduces."""
+def stretches(doc: list[str], item: list[str], runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """``(words, document start, document end)`` of the stretches of the best chain of runs."""
     runs = sorted(set(runs))
     best: list[tuple[float, int, int]] = []  # (score, previous, words new to the chain)
     for i, (d, t, n) in enumerate(runs):
         score, back, new = float(n), -1, n
-        for j in range(i):
+        # Runs farther back than the item is long and the gaps are wide belong to another copy.
+        for j in range(i - 1, -1, -1):
             pd_, pt, pn = runs[j]
+            if d - pd_ - pn > 4 * (len(item) + GAP_DOC):
+                break
             over = max(0, pd_ + pn - d, pt + pn - t)
-            if d < pd_ or t < pt or over >= n:
+            if t < pt or over >= n:
                 continue
             gd, gt = d + over - pd_ - pn, t + over - pt - pn
             near = gd <= GAP_DOC and gt <= GAP_ITEM
@@ -203,28 +210,37 @@ def covered(doc: list[str], item: list[str], runs: list[tuple[int, int, int]], m
         chain.append((runs[at], best[at][2]))
         at = best[at][1]
     chain.reverse()
-    stretches: list[int] = []
-    end_d = end_t = None
+    out: list[list[int]] = []
+    end_d = end_t = 0
     for (d, t, n), new in chain:
         d, t = d + n - new, t + n - new
-        if end_d is not None and d - end_d <= GAP_DOC and t - end_t <= GAP_ITEM:
+        if out and d - end_d <= GAP_DOC and t - end_t <= GAP_ITEM:
             gap = t - end_t
             got = _between(doc[end_d:d], item[end_t:t]) if gap else 0
-            stretches[-1] += new + (gap if gap <= 2 and d - end_d <= 4 else got)
+            out[-1][0] += new + (gap if gap <= 2 and d - end_d <= 4 else got)
         else:
-            stretches.append(new + _edge(doc, item, d, t, -1))
-            if end_d is not None:
-                stretches[-2] += _edge(doc, item, end_d, end_t, 1)
+            if out:
+                more = _edge(doc, item, end_d, end_t, 1)
+                out[-1][0], out[-1][2] = out[-1][0] + more, out[-1][2] + more
+            more = _edge(doc, item, d, t, -1)
+            out.append([new + more, d - more, d])
         end_d, end_t = d + new, t + new
-    stretches[-1] += _edge(doc, item, end_d, end_t, 1)
-    kept = sorted((s for s in stretches if s >= MIN_STRETCH), reverse=True)[:max_stretches]
+        out[-1][2] = end_d
+    more = _edge(doc, item, end_d, end_t, 1)
+    out[-1][0], out[-1][2] = out[-1][0] + more, out[-1][2] + more
+    return [(n, a, b) for n, a, b in out if n >= MIN_STRETCH]
+
+
+def covered(doc: list[str], item: list[str], runs: list[tuple[int, int, int]], max_stretches: int = MAX_STRETCHES) -> float:
+    """Share of the item's words that the best chain of runs reproduces."""
+    kept = sorted((n for n, _, _ in stretches(doc, item, runs)), reverse=True)[:max_stretches]
     return min(1.0, sum(kept) / len(item))
 
 
 def _edge(doc: list[str], item: list[str], d: int, t: int, step: int) -> int:
     """Words that go on matching, spelling aside, before or after a stretch."""
     n = miss = gained = 0
-    while miss < 2 and n < 12:
+    while miss < 2 and n < EDGE:
         i, j = (d + n, t + n) if step > 0 else (d - 1 - n, t - 1 - n)
         if not (0 <= i < len(doc) and 0 <= j < len(item)):
             break
@@ -236,6 +252,98 @@ def _edge(doc: list[str], item: list[str], d: int, t: int, step: int) -> int:
     return gained
 
 
+class Items:
+    """One block of test items: long ones in an automaton, short ones as phrases that count only whole."""
+
+    def __init__(self, block: list[tuple[int, list[str]]], min_run: int):
+        self.min_run = min_run
+        self.long = SuffixAutomaton([(i, w) for i, w in block if len(w) >= 2 * min_run])
+        self.short: dict[tuple[str, ...], list] = defaultdict(list)
+        for i, w in block:
+            if min_run <= len(w) < 2 * min_run:
+                self.short[tuple(w)].append(i)
+        self.lengths = sorted({len(w) for w in self.short})
+
+    def leaks(self, ws: list[str], coverage: float, max_stretches: int) -> Iterator[tuple[object, float, list[tuple[int, int]]]]:
+        """``(item, share, word ranges)`` of the items that a document holds."""
+        for k, runs in self.long.runs(ws, self.min_run, coverage).items():
+            item, words = self.long.items[k]
+            found = sorted(stretches(ws, words, runs), reverse=True)[:max_stretches]
+            share = min(1.0, sum(n for n, _, _ in found) / len(words))
+            if share >= coverage:
+                yield item, share, [(a, b) for _, a, b in found]
+        for n in self.lengths:
+            for at in range(len(ws) - n + 1):
+                for item in self.short.get(tuple(ws[at:at + n]), ()):
+                    yield item, 1.0, [(at, at + n)]
+
+
+_ORIGINAL = re.compile(r"[^\W_](?:[^\W_]|[­​‌‍﻿]|[-‐­]\s*\n\s*(?=[^\W\d_]))*")
+
+
+def placed_words(text: str) -> tuple[list[str], list[tuple[int, int]]]:
+    """The words of a text and where each stands in it."""
+    words: list[str] = []
+    at: list[tuple[int, int]] = []
+    for m in _ORIGINAL.finditer(text):
+        for w in normal_words(m.group()):
+            words.append(w)
+            at.append(m.span())
+    return words, at
+
+
+def _blocks(items: DataFrame, item_id: str, item_text: str, min_run: int) -> Iterator[list[tuple[int, list[str]]]]:
+    """Items as words, block by block; never all at once on the driver."""
+    block, held = [], 0
+    for row in items.select(item_id, item_text).where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).toLocalIterator():
+        ws = normal_words(row[1])
+        if len(ws) >= min_run:
+            block.append((row[0], ws))
+            held += len(ws)
+        if held >= BLOCK_WORDS:
+            yield block
+            block, held = [], 0
+    yield block
+
+
+def remove_leaks(
+    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "citation_excerpt",
+    coverage: float = COVERAGE, min_run: int = MIN_RUN, max_stretches: int = MAX_STRETCHES,
+) -> DataFrame:
+    """``(id_col, text_col, removed)``: texts without the passages of items they hold; ``removed`` counts the characters cut.
+
+    Every document comes out, one row for each row given; a null text stays null.
+    What is cut are the stretches that make a document leak, from their first word
+    to their last.  Items as for :func:`find_leaks`.
+    """
+    spark = docs.sparkSession
+    out = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.lit(0).cast("long").alias("_cut"))
+    for block in _blocks(items, item_id, item_text, min_run):
+        shared = spark.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            held = Items(shared.value, min_run)
+            for pdf in batches:
+                texts, cuts = [], []
+                for text, cut in zip(pdf["_text"], pdf["_cut"]):
+                    if text:
+                        ws, at = placed_words(text)
+                        ranges = sorted((at[a][0], at[b - 1][1]) for _, _, spans in held.leaks(ws, coverage, max_stretches) for a, b in spans)
+                        end, parts = 0, []
+                        for a, b in ranges:
+                            if b > end:
+                                parts.append(text[end:max(a, end)])
+                                cut += b - max(a, end)
+                                end = b
+                        text = "".join(parts) + text[end:]
+                    texts.append(text)
+                    cuts.append(cut)
+                yield pd.DataFrame({"_id": pdf["_id"], "_text": texts, "_cut": cuts})
+
+        out = out.mapInPandas(run, f"_id {dict(out.dtypes)['_id']}, _text string, _cut long")
+    return out.select(F.col("_id").alias(id_col), F.col("_text").alias(text_col), F.col("_cut").alias("removed"))
+
+
 def find_leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -251,44 +359,23 @@ def find_leaks(
 
     The items are the stated query set; they go to the tasks in blocks of at
     most ``BLOCK_WORDS`` words, however many there are, and all documents are
-    scanned whole against each block.  Items of fewer than ``2 * min_run`` words
-    and null or empty texts match nothing.  Repeated rows give one result row.
+    scanned whole against each block.  Items of fewer than ``2 * min_run`` words leak
+    only whole; items of fewer than ``min_run`` words are no passages, and null or empty
+    texts match nothing.  Repeated rows give one result row.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.col("_text").isNotNull())
     schema = f"_id {dict(slim.dtypes)['_id']}, _item {dict(items.dtypes)[item_id]}, coverage double"
-    picked = items.select(item_id, item_text).where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull())
-    found, block, held = None, [], 0
-
-    def scan(block: list[tuple[int, list[str]]]) -> DataFrame:
+    found = None
+    for block in _blocks(items, item_id, item_text, min_run):
         shared = spark.sparkContext.broadcast(block)
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            sam = SuffixAutomaton(shared.value)
+        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            held = Items(shared.value, min_run)
             for pdf in batches:
-                out = []
-                for doc_id, text in zip(pdf["_id"], pdf["_text"]):
-                    ws = normal_words(text)
-                    for k, runs in sam.runs(ws, min_run, coverage).items():
-                        item, words = sam.items[k]
-                        share = covered(ws, words, runs, max_stretches)
-                        if share >= coverage:
-                            out.append((doc_id, item, share))
+                out = [(i, item, share) for i, text in zip(pdf["_id"], pdf["_text"]) for item, share, _ in held.leaks(normal_words(text), coverage, max_stretches)]
                 yield pd.DataFrame(out, columns=["_id", "_item", "coverage"])
 
-        return slim.mapInPandas(run, schema)
-
-    # Streamed block by block, never all items at once on the driver.
-    for row in picked.toLocalIterator():
-        ws = normal_words(row[1])
-        if len(ws) < 2 * min_run:
-            continue
-        block.append((row[0], ws))
-        held += len(ws)
-        if held >= BLOCK_WORDS:
-            part = scan(block)
-            found, block, held = (part if found is None else found.unionByName(part)), [], 0
-    if block or found is None:
-        part = scan(block)
+        part = slim.mapInPandas(run, schema)
         found = part if found is None else found.unionByName(part)
     return found.groupBy(F.col("_id").alias(id_col), F.col("_item").alias(item_id)).agg(F.max("coverage").alias("coverage"))

@@ -65,13 +65,15 @@ def _levels(theta: float, longest: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def similar_sets(sets: DataFrame, within: Sequence[str], id_col: str, theta: float = THETA, longest: int = 200_000) -> DataFrame:
+def similar_sets(sets: DataFrame, within: Sequence[str], id_col: str, theta: float = THETA, longest: int | None = None) -> DataFrame:
     """``(within..., x, y)`` with ``x < y``: sets ``elems`` of the same ``within`` that agree to ``theta``.
 
     ``sets``: ``within``, ``id_col`` (unique within), ``elems array<long>`` of distinct
-    hashes.  Empty sets agree with nothing.  No pair is lost for sets of up to
-    ``longest`` elements.
+    hashes.  Empty sets agree with nothing.  ``longest``: the size of the largest
+    set, by default counted; the levels reach as far.
     """
+    if longest is None:
+        longest = sets.agg(F.max(F.size("elems"))).first()[0] or 1
     spread = (2 - theta) / theta  # the larger set has at most so many times the elements
     levels = F.array(*[F.struct(F.lit(a).alias("lo"), F.lit(b).alias("hi"), F.lit(m).alias("m")) for a, b, m in _levels(theta, longest)])
     bits = lambda shift: F.expr(f"aggregate(elems, 0L, (a, e) -> a | shiftleft(1L, cast(pmod(shiftright(e, {shift}), 64) as int)))")
@@ -155,7 +157,7 @@ def near_duplicates(
     sides = hot.join(c1, ["g", "x"]).select("g", "x", "y", F.col("t1").alias("t"), F.col("cx").alias("class")).unionByName(
         hot.where("x <> y").join(c2, ["g", "y"]).select("g", "x", "y", F.col("t2").alias("t"), F.col("cy").alias("class"))
     ).join(tset, "t").withColumnsRenamed({"x": "ax", "y": "ay"})
-    through = similar_sets(sides, ["g", "ax", "ay"], "class", theta)
+    through = similar_sets(sides, ["g", "ax", "ay"], "class", theta, titles.agg(F.max(F.size("te"))).first()[0] or 1)
     # Of different authors' cells only links across count here; links inside a cell come from the cell itself.
     own = classes.select(F.col("class"), "a")
     through = through.join(own.select(F.col("class").alias("x"), F.col("a").alias("x_a")), "x").join(

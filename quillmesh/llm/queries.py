@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .canonical import map_to_list
 from .common import cut, table
-from .leakage import find_leaks
+from .leakage import find_leaks, remove_leaks
 from .matching import matched_records
 from .mixture import mix, with_token_counts
 from .neardup import group_records, near_duplicates, record_pairs
@@ -60,6 +60,11 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
 
 
+def p6_removed(spark: SparkSession, d: str) -> DataFrame:
+    out = remove_leaks(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "eval_items"))
+    return out.select("doc_id", F.length("text").alias("n_chars"), "removed")
+
+
 def _mixture(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     docs = with_token_counts(table(spark, d, "documents").select("doc_id", "source", "text"))
     # Tokenised once: the counts, not the texts, go on.
@@ -80,4 +85,4 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_groups, p3_found, p3_confidence, p4_found, p4_survivors, p5_found, p5_unmatched, p6_found, p7_mixture, p7_shares, p8_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_groups, p3_found, p3_confidence, p4_found, p4_survivors, p5_found, p5_unmatched, p6_found, p6_removed, p7_mixture, p7_shares, p8_found)}

@@ -154,7 +154,9 @@ def _large(groups: DataFrame, n: int) -> DataFrame:
         F.max("_c").alias("_mc"), F.max("_t").alias("_mt"), F.max("_r").alias("_mr"),
     )
     rest = groups
-    best = lambda i: F.max_by(F.when(F.col("_f")[i] == 1, F.col("_id")), F.when(F.col("_f")[i] == 1, F.struct("_c", "_t", "_r", -F.col("_id"))))
+    # The highest criteria, then the smallest id, of whatever type it is.
+    order = F.struct(-F.col("_c"), -F.col("_t"), -F.col("_r"), F.col("_id"))
+    best = lambda i: F.min_by(F.when(F.col("_f")[i] == 1, F.col("_id")), F.when(F.col("_f")[i] == 1, order))
     state, depth = None, 0
     while True:
         # Merge skylines of parts until each group is one part again.
@@ -166,7 +168,7 @@ def _large(groups: DataFrame, n: int) -> DataFrame:
         front = cut(front)
         layer = front.groupBy("_g").agg(
             F.count("*").cast("int").alias("_w"),
-            F.max_by("_id", F.struct("_c", "_t", "_r", -F.col("_id"))).alias("_b"),
+            F.min_by("_id", order).alias("_b"),
             F.max(F.struct("_c", "_t", "_r")).alias("_top"),
             *[best(i).alias(f"_s{i}") for i in range(n)],
         )

@@ -295,6 +295,34 @@ def test_leaks(spark, monkeypatch):
     assert rows(find_leaks(docs.limit(0), items)) == set() and rows(find_leaks(docs, items.limit(0))) == set()
 
 
+def test_short_items_leak_whole_and_typos_do_not_hide_a_passage(spark):
+    text = "The kiln of vanity led back to one orphaned memory while seven masons kept their ledgers shut and every harbor slept under a secular moon until dawn"
+    broken = " ".join("zzz" if i % 5 == 4 else w for i, w in enumerate(text.split()))
+    items = spark.createDataFrame([(1, text), (2, "one orphaned memory kept"), (3, "two words")], "item_id bigint, citation_excerpt string")
+    docs = spark.createDataFrame([(1, "So " + broken + " it ends."), (2, "Then ONE orphaned memory, kept apart."), (3, "one orphaned memory"), (4, "two words")], "doc_id bigint, text string")
+    assert rows(find_leaks(docs, items).select("doc_id", "item_id")) == {(1, 1), (2, 2)}
+
+
+def test_leaks_are_cut_out(spark):
+    from quillmesh.llm.leakage import remove_leaks
+
+    text = "The kiln of vanity led back to one orphaned memory while seven masons kept their ledgers shut"
+    items = spark.createDataFrame([(1, text)], "item_id bigint, citation_excerpt string")
+    docs = spark.createDataFrame([(1, f"Before it. {text.upper()}. After it."), (2, "Nothing here."), (3, None), (4, ""), (5, "A. " + text.replace("masons", "ma\u00adsons").replace("ledgers", "led-\ngers") + "; B.")], "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["text"], r["removed"]) for r in remove_leaks(docs, items).collect()}
+    assert got[1] == ("Before it. . After it.", len(text)) and got[2] == ("Nothing here.", 0) and got[3] == (None, 0) and got[4] == ("", 0) and got[5][0] == "A. ; B."
+    assert rows(find_leaks(remove_leaks(docs, items), items)) == set()
+
+
+@pytest.mark.parametrize("bound", [256, 4])
+def test_survivors_with_text_ids(spark, monkeypatch, bound):
+    monkeypatch.setattr(survivor, "GROUP_BOUND", bound)
+    data = [(f"id{i:02d}", "w", "T" if i % 3 else None, i % 4, T0, T0) for i in range(12)]
+    df = spark.createDataFrame(data, "book_id string, work_id string, title string, ratings_count bigint, updated_at timestamp, ingested_at timestamp")
+    r = choose_survivors(df, fields=("title", "ratings_count")).first()
+    assert (r["base_id"], r["n_records"], r["clear_lead"]) == ("id07", 12, False)
+
+
 def test_mixture_cuts_and_repeats(spark):
     rng = random.Random(0)
     docs = [(i, rng.choice(["a", "a", "a", "b"]), rng.randint(0, 50)) for i in range(400)] + [(1000, None, 5), (1001, "c", 7)]
