@@ -6,9 +6,9 @@ from .registry import Query
 
 
 def _parts():
-    from . import cleaning, functions, graph, quality, text
+    from . import cleaning, documents, functions, graph, quality, text
 
-    return [functions.R, cleaning.R, graph.R, text.R, quality.R]
+    return [functions.R, cleaning.R, graph.R, text.R, quality.R, documents.R]
 
 
 def queries() -> dict[str, Query]:

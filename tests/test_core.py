@@ -227,7 +227,7 @@ def test_pages(spark, tmp_path):
     (tmp_path / "The_Republic_123.txt").write_text("Text.")
     (tmp_path / "Loose.txt").write_text("Other.")
     (tmp_path / "skip.md").write_text("no")
-    assert rows(readers.texts(spark, str(tmp_path))) == {("123", "The Republic", "Text."), (None, "Loose", "Other.")}
+    assert rows(readers.texts(spark, str(tmp_path))) == {("123", "The Republic", "Text.", True), ("Loose", "Loose", "Other.", False)}
 
 
 def test_stream_resumes(spark, tmp_path):
