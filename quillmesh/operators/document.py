@@ -35,9 +35,10 @@ def build_edges(cites: DataFrame, found: DataFrame, books: DataFrame, authors: D
     rows = cites.join(found, "ord", "left").join(b, F.col("book_id") == F.col("_b"), "left").join(a, F.col("author_id") == F.col("_a"), "left").join(p, F.col("page_id") == F.col("_p"), "left")
     kind = F.coalesce("match_type", F.lit("not_found"))
     rows = rows.withColumn("_target", F.coalesce(F.try_element_at("_book.authors", F.lit(1))["name"], "_name", "author"))
-    life = lives.where("name IS NOT NULL").groupBy(F.col("name").alias("_l")).agg(
-        F.min(F.struct(F.col("birth_year").cast("int").alias("birth_year"), F.col("death_year").cast("int").alias("death_year"), "nationality", "main_genre")).alias("_life")
-    )
+    told = [F.col("birth_year").cast("int").alias("birth_year"), F.col("death_year").cast("int").alias("death_year"), F.col("nationality"), F.col("main_genre")]
+    # Of namesakes the least, what is unknown coming last.
+    order = F.struct(*[x for c in told for x in (c.isNull(), c)])
+    life = lives.where("name IS NOT NULL").groupBy(F.col("name").alias("_l")).agg(F.min_by(F.struct(*told), order).alias("_life"))
     rows = rows.join(life, F.col("_target") == F.col("_l"), "left")
     no_page, no_life = F.col("_page").isNull(), F.col("_life").isNull()
     person = F.when(~(no_page & no_life), F.struct(

@@ -60,8 +60,11 @@ e AS (SELECT e0.*, l, CASE WHEN p_title IS NOT NULL THEN p_title WHEN l IS NOT N
 def edges(spark, d):
     """Edges with the person they point to; life dates fill only what the page lacks."""
     p, g = F.col("edge.target_person"), F.col("goodreads_match")
+    # Of a book, null tells that none of its authors' ids is known.
+    ids = F.when(F.col("edge.target_type") == "book", g["author_ids"]).otherwise(F.col("edge.target_author_ids"))
+    ids = F.when((F.size(ids) == 0) | F.exists(ids, lambda x: x.isNotNull()), F.array_join(ids, ","))
     return _edges(spark, d).select(
-        "ord", "edge.target_type", "edge.target_book_id", F.array_join("edge.target_author_ids", ",").alias("target_author_ids"), p["title"].alias("person"), p["birth_year"].alias("person_birth"),
+        "ord", "edge.target_type", "edge.target_book_id", ids.alias("target_author_ids"), p["title"].alias("person"), p["birth_year"].alias("person_birth"),
         p["death_year"].alias("person_death"), g["title"].alias("match_title"), g["author_meta"]["nationality"].alias("nationality"),
     )
 

@@ -10,6 +10,7 @@ from quillmesh.operators import dedup as DD
 from quillmesh.operators import enrich as E
 from quillmesh.operators import graph as G
 from quillmesh.operators import resolve as S
+from quillmesh.plans import catalog
 from quillmesh.sources import readers
 
 
@@ -92,3 +93,17 @@ def test_command_line_links_books_without_number_and_repeated_records(spark, tmp
     assert links == {("Jane Roe", "Ada Lovelace", 1), ("John Doe", "Ada Lovelace", 1)}
     got = rows(spark.read.parquet(str(tmp_path / "out/resolved")).where("title <> ''").select("group", "book_id", "match_type", "cite_count"))
     assert {g[:3] for g in got} == {("77", "10", "book"), ("88", "10", "book")}
+
+
+def test_edges_of_books_without_author_ids_and_of_namesakes(spark, tmp_path):
+    author = "array<struct<author_id bigint, name string>>"
+    write = lambda name, data, schema: spark.createDataFrame(data, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    books = [(1, "All", [(7, "A"), (8, "B")]), (2, "Some", [(None, "A"), (8, "B")]), (3, "No Ids", [(None, "Z"), (None, "B")]), (4, "Nobody", []), (5, "Unknown", None)]
+    write("book_metadata", [(b, "w", t, a, 1900, 0) for b, t, a in books], f"book_id bigint, work_id string, title string, authors {author}, publication_year int, ingested_at int")
+    cited = [*((i, t, "X") for i, t, _ in books), (6, "", "A"), (7, "Lost", "X")]
+    write("citations", [(i, "s", t, a, None, 1, [], [], 0) for i, t, a in cited], "cit_id bigint, source_book_id string, title string, author string, canonical_author string, cite_count int, contexts array<string>, commentaries array<string>, ingested_at int")
+    people = [(10, "Z", None, None, None, None), (15, "Z", 1800, None, None, "g"), (20, "Z", 1800, 1850, None, None)]
+    write("canonical_authors", people, "author_id bigint, name string, birth_year int, death_year int, nationality string, main_genre string")
+    got = {r["ord"]: r for r in catalog.queries()["edges"](spark, str(tmp_path)).collect()}
+    assert {i: r["target_author_ids"] for i, r in got.items()} == {1: "7,8", 2: "8", 3: None, 4: "", 5: None, 6: "7", 7: ""}
+    assert (got[3]["person"], got[3]["person_birth"], got[3]["person_death"]) == ("Z", 1800, 1850)
