@@ -197,7 +197,7 @@ def map_to_list(cit: DataFrame, refs: DataFrame, id_col: str = "cit_id", ref_id:
     full = hits.where("level = 2").join(of("lead", "lead", "r_lead", "dl"), ["lead", "r_lead"])
     full = full.join(res.members, "core").select("core", "entity", "ref", "shapes", "rows", (F.col("ds") + F.col("dl")).alias("d"))
     w = W.partitionBy("entity")
-    per = full.groupBy("entity", "ref").agg(F.min("d").alias("d"), F.max(F.struct("shapes", "rows")).alias("support")).withColumn("least", F.min("d").over(w))
+    per = st.cut(full.groupBy("entity", "ref").agg(F.min("d").alias("d"), F.max(F.struct("shapes", "rows")).alias("support")).withColumn("least", F.min("d").over(w)))
     # Among several entries met exactly the entity stands for the one with most support.
     exact = per.where("d = 0").withColumn("top", F.max("support").over(w)).where(F.col("support") == F.col("top")).select("entity", "ref")
     # Without an exact form: only a name seen in one shape, for an entry nobody writes exactly.
@@ -216,19 +216,19 @@ def map_to_list(cit: DataFrame, refs: DataFrame, id_col: str = "cit_id", ref_id:
     fits = hits.where("ds = 0 AND level < 2 AND kind = 'person' AND (lead = '' OR lead = substring(r_lead, 1, 1))").select("core", "ref", "stem").join(alone.select("core"), "core", "left_semi")
     # People of that name who are written out and are not the entry speak against it.
     rivals = res.cores.where("level = 2 AND kind = 'person'").join(res.members, "core").join(denotes, "entity", "left_anti").select("stem").distinct()
-    fits = fits.join(rivals, "stem", "left_anti").select("core", "ref")
+    fits = st.cut(fits.join(st.cut(rivals), "stem", "left_anti").select("core", "ref"))
     letters = alone.where("kind = 'short'").join(of("acronym", "acro", "letters", "da"), "acro").join(
         entries.select("ref", "r_stem", F.explode("acros").alias("letters")), "letters"
     ).join(of("stem", "stem", "r_stem", "ds"), ["stem", "r_stem"], "left").where("stem = '' OR ds IS NOT NULL").select("core", "ref")
     fits = fits.unionByName(letters).distinct()
     only = fits.withColumn("n", F.count("*").over(W.partitionBy("core"))).where("n = 1").select("core", "ref")
-    by_core = res.forms.select("spelling", "core").join(clear.unionByName(only), "core").select("spelling", "ref")
+    by_core = res.forms.select("spelling", "core").join(st.cut(clear.unionByName(only)), "core").select("spelling", "ref")
     # -- records ----------------------------------------------------------------
     said = cit.select(F.col(id_col).alias("id"), F.col("author").alias("spelling"), "title")
     plain = said.select("id", "spelling").join(by_core, "spelling").select("id", "ref")
     # A short form of several people: the cited work tells who is meant.
     unsure = belongs.where("n_entities > 1")
-    cited = res.seen.join(res.cores.where("level = 2").select("core"), "core").join(res.members, "core").select("entity", "work").distinct().join(unsure, "entity").select("core", "work", "ref").distinct()
+    cited = st.cut(res.seen.join(res.cores.where("level = 2").select("core"), "core").join(res.members, "core").select("entity", "work").distinct().join(unsure, "entity").select("core", "work", "ref").distinct())
     told = said.join(res.forms.select("spelling", "core").join(unsure.select("core").distinct(), "core", "left_semi"), "spelling")
     by_work = told.select("id", "core", title_key(F.col("title")).alias("work")).join(cited, ["core", "work"]).select("id", "ref")
     matches = st.cut(plain.unionByName(by_work).distinct())

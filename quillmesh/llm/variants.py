@@ -156,9 +156,10 @@ def resolve(st: Stages, spellings: DataFrame, works: DataFrame, links: DataFrame
     stats = ("kind", "stem", "lead", "shapes", "rows", "mass", "n_works")
 
     # -- candidates: (x, y, how, d) ------------------------------------------------
-    close = side("x", full, "kind", "stem", "lead").join(nd("x_stem", "y_stem", "ds"), "x_stem").join(nd("x_lead", "y_lead", "dl"), "x_lead").where("ds + dl >= 1").join(
+    # Each kind is written by itself: all in one plan they hold the driver's memory at the same time.
+    close = st.cut(side("x", full, "kind", "stem", "lead").join(nd("x_stem", "y_stem", "ds"), "x_stem").join(nd("x_lead", "y_lead", "dl"), "x_lead").where("ds + dl >= 1").join(
         side("y", full, "kind", "stem", "lead"), ["y_stem", "y_lead"]
-    ).where("x_kind = y_kind").select("x", "y", F.lit("close").alias("how"), (F.col("ds") + F.col("dl")).alias("d"))
+    ).where("x_kind = y_kind").select("x", "y", F.lit("close").alias("how"), (F.col("ds") + F.col("dl")).alias("d")))
     # One surname and one work under different given names: each with the most frequent.
     cited = seen.join(persons.select("core", "stem"), "core")
     top = cited.groupBy("stem", "work").agg(F.max_by(F.col("core"), F.struct("n", "core")).alias("y"), F.count("*").alias("k")).where("k > 1")
@@ -174,7 +175,7 @@ def resolve(st: Stages, spellings: DataFrame, works: DataFrame, links: DataFrame
     letters = F.concat(F.lit("^"), F.regexp_replace("x_lead", "(.)", "$1.*"))
     cut_short = led("x").join(led("y"), ["stem", "i"]).where((F.length("x_lead") >= 2) & (F.length("x_lead") + 1 < F.length("y_lead")) & F.regexp_like("y_lead", letters))
     cut_short = cut_short.select(F.explode(F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))).alias("p")).select("p.*", F.lit("alias").alias("how"), F.lit(1).alias("d"))
-    short_for = by_alias.unionByName(cut_short)
+    short_for = st.cut(by_alias.unionByName(cut_short))
     # Initials: of the given name, or of a name it is short for.
     initials = cores.where("kind = 'person' AND level = 1")
     heads = persons.select("core", "stem", F.substring("lead", 1, 1).alias("i")).unionByName(persons.select("core", "stem", F.col("lead").alias("a")).join(alias, "a").select("core", "stem", F.substring("b", 1, 1).alias("i"))).distinct()
@@ -188,10 +189,13 @@ def resolve(st: Stages, spellings: DataFrame, works: DataFrame, links: DataFrame
     by_stem = bare.select(F.col("core").alias("x"), F.col("stem").alias("xs")).join(nd("xs", "ys", "d"), "xs").join(
         persons.unionByName(initials).select(F.col("core").alias("y"), F.col("stem").alias("ys")), "ys"
     ).select("x", "y", F.lit("bare").alias("how"), "d")
+    by_initial, lesser = st.cut(by_initial), st.cut(by_letters.unionByName(by_stem))
     told = links.join(core_of.select(F.col("spelling").alias("a"), F.col("core").alias("x")), "a").join(core_of.select(F.col("spelling").alias("b"), F.col("core").alias("y")), "b").where("x <> y")
     gold = told.select(F.explode(F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))).alias("l")).select("l.*").groupBy("x", "y").agg(F.count("*").alias("gold"))
-    cands = close.unionByName(star.select("x", "y", F.lit("star").alias("how"), F.lit(3).alias("d"))).unionByName(short_for).unionByName(by_initial).unionByName(by_letters).unionByName(by_stem)
+    cands = close.unionByName(star.select("x", "y", F.lit("star").alias("how"), F.lit(3).alias("d"))).unionByName(short_for).unionByName(by_initial).unionByName(lesser)
     pairs = st.cut(cands.groupBy("x", "y").agg(F.min_by("how", "d").alias("how"), F.min("d").alias("d")).join(gold, ["x", "y"], "full_outer").fillna({"gold": 0, "how": "told", "d": 4}))
+    for done in (close, short_for, by_initial, lesser):
+        st.drop(done)
     # -- evidence: works that both are cited for ---------------------------------------
     shared = pairs.select("x", "y").join(seen.select(F.col("core").alias("x"), "work", F.col("n").alias("nx")), "x").join(
         seen.select(F.col("core").alias("y"), "work"), ["y", "work"]
@@ -226,7 +230,7 @@ def resolve(st: Stages, spellings: DataFrame, works: DataFrame, links: DataFrame
         w = W.partitionBy("x")
         scored = scored.withColumns({"any": F.max("proof").over(w), "least": F.min("d").over(w)})
         scored = scored.withColumn("n_least", F.sum((F.col("d") == F.col("least")).cast("int")).over(w))
-        got = scored.where("(any = 1 AND proof = 1) OR (any = 0 AND d = least AND n_least = 1 AND (d = 0 OR n_works = 0 OR y_works = 0))").select(F.col("x").alias("core"), "entity")
+        got = st.cut(scored.where("(any = 1 AND proof = 1) OR (any = 0 AND d = least AND n_least = 1 AND (d = 0 OR n_works = 0 OR y_works = 0))").select(F.col("x").alias("core"), "entity"))
         alone = lesser.select("core").join(got, "core", "left_anti").select("core", F.col("core").alias("entity"))
         return st.cut(got.unionByName(alone))
 

@@ -354,3 +354,20 @@ def test_residue_in_tables(spark):
     assert rows(detect_residue(docs)) == {(1, "placeholder"), (5, "error")}
     assert rows(drop_residue(docs).select("doc_id")) == {(2,), (3,), (4,)}
     assert rows(detect_residue(docs.limit(0))) == set()
+
+
+def test_written_plans_of_the_list_mapping_stay_small(spark, monkeypatch):
+    from quillmesh.llm.common import Stages
+
+    cit = spark.createDataFrame([(1, "Smith, John", None, "A Long Title"), (2, "J. Smith", "John Smith", "A Long Title"), (3, "Smyth, John", None, "Other Words"), (4, "Nobody Else", None, None)], "cit_id int, author string, canonical_author string, title string")
+    refs = spark.createDataFrame([(10, "John Smith"), (11, "Jane Roe")], "author_id int, name string")
+    joins, cut = [], Stages.cut
+
+    def counted(self, df):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return cut(self, df)
+
+    monkeypatch.setattr(Stages, "cut", counted)
+    matches, _ = map_to_list(cit, refs)
+    assert {(r["cit_id"], r["author_id"]) for r in matches.collect()} >= {(1, 10), (2, 10)}
+    assert max(joins) <= 10, joins
