@@ -25,31 +25,56 @@ def postings(docs: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
     return out.select("token", "field", "doc", "pos")
 
 
+#: Fixed value: a word that more documents hold is looked up with a second one.
+FEW = 64
+
+
+def meetings(asked: DataFrame, docs: DataFrame) -> DataFrame:
+    """``(q, doc)``: documents that hold the rarest word of a query and, if more than :data:`FEW` do, its second rarest too.
+
+    ``asked``: ``(q, words)``, ``docs``: ``(doc, words)``, each word of a text once.  Queries
+    with a word that no document holds meet none.
+    """
+    wanted = asked.select("q", F.explode("words").alias("token"))
+    held = docs.select("doc", F.explode("words").alias("token")).join(wanted.select("token").distinct(), "token", "left_semi")
+    freq = held.groupBy("token").agg(F.count("*").alias("df"))
+    rare = wanted.join(freq, "token", "left").groupBy("q").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token"))).alias("r")).where("r[0].df > 0")
+    both = (F.col("r")[0]["df"] > FEW) & (F.size("r") > 1)
+    one, two = F.col("r")[0]["token"], F.try_element_at("r", F.lit(2))["token"]
+    keys = kept(rare.select("q", F.when(both, F.least(one, two)).otherwise(one).alias("a"), F.when(both, F.greatest(one, two)).alias("b")))
+    alone = keys.where("b IS NULL").select("q", F.col("a").alias("token")).join(held, "token").select("q", "doc")
+    pairs = keys.where("b IS NOT NULL")
+    used = pairs.select(F.explode(F.array("a", "b")).alias("token")).distinct()
+    words = held.join(used, "token", "left_semi").groupBy("doc").agg(F.array_sort(F.collect_list("token")).alias("w")).where("size(w) > 1")
+    later = words.select("doc", "w", F.posexplode("w").alias("i", "a")).select("doc", "a", F.explode(F.slice("w", F.col("i") + 2, F.size("w"))).alias("b"))
+    return alone.unionByName(pairs.join(later, ["a", "b"]).select("q", "doc"))
+
+
 def phrase_hits(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str, d_id: str, d_text: str) -> DataFrame:
     """``(q, doc)``: documents that hold the words of a query in a row.
 
-    The rarest word of a query, by document frequency, is joined with the postings;
+    The rarest words of a query, by document frequency, are joined with the postings;
     the whole phrase is then verified on the candidates.  Queries without words
     match nothing.
     """
     q = queries.select(F.col(q_id).alias("q"), tokens(F.col(q_text)).alias("qt")).where(F.size("qt") > 0).dropDuplicates(["q"])
     d = docs.select(F.col(d_id).alias("doc"), tokens(F.col(d_text)).alias("dt"))
-    words = d.select("doc", F.explode(F.array_distinct("dt")).alias("token"))
-    asked = q.select("q", F.explode(F.array_distinct("qt")).alias("token"))
-    words = words.join(asked.select("token").distinct(), "token", "left_semi")
-    freq = words.groupBy("token").agg(F.count("*").alias("df"))
-    rare = asked.join(freq, "token", "left").groupBy("q").agg(F.min_by("token", F.struct(F.coalesce("df", F.lit(0)), "token")).alias("token"))
-    cand = rare.join(words, "token").select("q", "doc")
+    cand = meetings(q.select("q", F.array_distinct("qt").alias("words")), d.select("doc", F.array_distinct("dt").alias("words")))
     line = lambda c: F.concat(F.lit(" "), F.array_join(c, " "), F.lit(" "))
     return cand.join(q, "q").join(d, "doc").where(line("dt").contains(line("qt"))).select("q", "doc")
 
 
 def all_words_hits(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str, d_id: str, d_text: str, min_len: int = 2) -> DataFrame:
-    """``(q, doc)``: documents that hold every word of a query of at least ``min_len`` letters."""
-    asked = queries.select(F.col(q_id).alias("q"), F.explode(F.array_distinct(tokens(F.col(q_text)))).alias("token")).where(F.length("token") >= min_len).distinct()
-    need = asked.groupBy("q").agg(F.count("*").alias("need"))
-    words = docs.select(F.col(d_id).alias("doc"), F.explode(F.array_distinct(tokens(F.col(d_text)))).alias("token"))
-    return asked.join(words, "token").groupBy("q", "doc").agg(F.count("*").alias("have")).join(need, "q").where("have = need").select("q", "doc")
+    """``(q, doc)``: documents that hold every word of a query of at least ``min_len`` letters.
+
+    Candidates are found as for phrases, so that words most documents hold are not
+    looked up; the other words are then verified.
+    """
+    long = lambda c: F.filter(F.array_distinct(tokens(F.col(c))), lambda t: F.length(t) >= min_len)
+    asked = queries.select(F.col(q_id).alias("q"), F.explode(long(q_text)).alias("token")).groupBy("q").agg(F.collect_set("token").alias("words"))
+    held = docs.select(F.col(d_id).alias("doc"), long(d_text).alias("words"))
+    whole = F.forall("words", lambda t: F.array_contains("held", t))
+    return meetings(asked, held).join(asked, "q").join(held.withColumnRenamed("words", "held"), "doc").where(whole).select("q", "doc")
 
 
 def record_hits(queries: DataFrame, docs: DataFrame, limit: int = 5) -> DataFrame:

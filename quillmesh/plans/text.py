@@ -98,7 +98,7 @@ def phrase_search(spark, d):
 b AS (SELECT DISTINCT book_id, unnest({_TOK('title')}) AS t FROM books WHERE title IS NOT NULL), h AS (SELECT q, book_id, count(*) AS have FROM w JOIN b USING (t) WHERE length(t) >= 2 GROUP BY 1, 2)
 SELECT q, book_id AS doc FROM h JOIN n USING (q) WHERE have = need""")
 def phrase_search_fallback(spark, d):
-    q, b = _search_sides(spark, d)
+    q, b = map(kept, _search_sides(spark, d))
     hit = X.phrase_hits(q, b, "item_id", "title", "book_id", "b_title").select("q").distinct()
     rest = q.join(hit, q["item_id"] == hit["q"], "left_anti")
     return X.all_words_hits(rest, b, "item_id", "title", "book_id", "b_title")

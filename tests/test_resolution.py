@@ -1,5 +1,7 @@
 """Resolution, edges, merging of texts and the command line on a handful of rows."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from quillmesh.operators import dedup as DD
 from quillmesh.operators import enrich as E
 from quillmesh.operators import graph as G
 from quillmesh.operators import resolve as S
+from quillmesh.operators import search as Q
 from quillmesh.plans import catalog
 from quillmesh.sources import readers
 
@@ -107,3 +110,17 @@ def test_edges_of_books_without_author_ids_and_of_namesakes(spark, tmp_path):
     got = {r["ord"]: r for r in catalog.queries()["edges"](spark, str(tmp_path)).collect()}
     assert {i: r["target_author_ids"] for i, r in got.items()} == {1: "7,8", 2: "8", 3: None, 4: "", 5: None, 6: "7", 7: ""}
     assert (got[3]["person"], got[3]["person_birth"], got[3]["person_death"]) == ("Z", 1800, 1850)
+
+
+@pytest.mark.parametrize("few", [1, 64])
+def test_common_words_do_not_multiply(spark, monkeypatch, few):
+    monkeypatch.setattr(Q, "FEW", few)
+    rng = random.Random(3)
+    text = lambda: " ".join(["the", rng.choice(["ash", "elm", "oak", "fir", "yew"]), "of", "a", f"w{rng.randrange(60)}"][rng.randrange(2):])
+    qs, ds = [(i, text()) for i in range(300)], [(i, text()) for i in range(400)]
+    q, d = spark.createDataFrame(qs, "q int, w string"), spark.createDataFrame(ds, "d int, t string")
+    assert rows(Q.all_words_hits(q, d, "q", "w", "d", "t")) == {(i, j) for i, w in qs for j, t in ds if {x for x in w.split() if len(x) > 1} <= set(t.split())}
+    assert rows(Q.phrase_hits(q, d, "q", "w", "d", "t")) == {(i, j) for i, w in qs for j, t in ds if f" {w} " in f" {t} "}
+    split = lambda df, k, c: df.select(k, F.split(c, " ").alias("words"))
+    # All texts share a word; a query still meets only those with its rare ones.
+    assert Q.meetings(split(q, F.col("q"), "w"), split(d, F.col("d").alias("doc"), "t")).count() < 300 * 400 / 20
