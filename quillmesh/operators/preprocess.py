@@ -8,8 +8,11 @@ A working citation has ``group`` (the citing book), ``ord`` (position, decides
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from difflib import SequenceMatcher
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -145,16 +148,108 @@ def ratio(a: str, b: str) -> float:
     return SequenceMatcher(None, a, b).ratio()
 
 
-def _letter_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    codes: dict[str, int] = {}
-    for t in texts:
-        for c in t:
-            codes.setdefault(c, len(codes))
-    counts = np.zeros((len(texts), max(1, len(codes))), dtype=np.int16)
-    for i, t in enumerate(texts):
-        for c in t:
-            counts[i, codes[c]] += 1
-    return counts, counts.sum(axis=1, dtype=np.int64)
+#: Fixed value: books of up to so many rows are compared all with all, larger ones by letter triples.
+FEW_ROWS = 1000
+
+
+class _Letters:
+    """Bounds of the letters that texts have in common.
+
+    The n-th occurrence of a letter is a bit of 128, rare ones share the last.
+    ``lost`` counts what shares a bit, so that a bound is never too low.
+    """
+
+    def __init__(self, texts: list[str]) -> None:
+        self.size = np.array([len(t) for t in texts], dtype=np.int32)
+        self.low, self.high = np.zeros(len(texts), dtype=np.uint64), np.zeros(len(texts), dtype=np.uint64)
+        text = np.repeat(np.arange(len(texts), dtype=np.int64), self.size)
+        letter = np.sort(text << 21 | np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
+        if len(letter):
+            first = np.flatnonzero(np.diff(letter, prepend=-1))
+            nth = np.arange(len(letter)) - np.repeat(first, np.diff(first, append=len(letter)))
+            _, kind, often = np.unique((letter & (1 << 21) - 1) << 32 | nth, return_inverse=True, return_counts=True)
+            rank = np.empty(len(often), dtype=np.int64)
+            rank[np.argsort(-often, kind="stable")] = np.arange(len(often))
+            at = np.minimum(rank[kind], 127)
+            starts, has = (np.cumsum(self.size) - self.size)[self.size > 0], self.size > 0
+            for half, mine in ((self.low, at < 64), (self.high, at >= 64)):
+                half[has] = np.bitwise_or.reduceat(np.where(mine, np.uint64(1) << (at & 63).astype(np.uint64), np.uint64(0)), starts)
+        self.often = np.bitwise_count(self.low).astype(np.int32)
+        self.lost = self.size - self.often - np.bitwise_count(self.high)
+
+    def common(self, i, j) -> np.ndarray:
+        met = np.bitwise_count(self.low[i] & self.low[j]).astype(np.int32) + np.bitwise_count(self.high[i] & self.high[j])
+        return met + np.minimum(self.lost[i], self.lost[j])
+
+
+def _triples(a: str) -> set[str]:
+    """Letter triples of a text; repeated ones are numbered by blanks."""
+    found: set[str] = set()
+    for k in range(len(a) - 2):
+        t = a[k:k + 3]
+        while t in found:
+            t += " "
+        found.add(t)
+    return found
+
+
+def _lost_triples(n: int, threshold: float) -> tuple[int, int]:
+    """Letter triples a text of ``n`` letters may lose at most in a text of a ratio over ``threshold``, and the longest such text.
+
+    A letter without a partner takes three triples with it, a letter put in takes two.
+    """
+    lost, longest, m = 0, 0, 0
+    while m <= n:
+        m = int(threshold * (n + longest + 1) / 2)
+        while m <= n and not 2.0 * m / (n + longest + 1) > threshold:
+            m += 1
+        if m > n:
+            break
+        longest += 1
+        if m <= longest:
+            lost = max(lost, 3 * (n - m) + 2 * (longest - m))
+    return lost, longest
+
+
+def _meetings(authors: list[str], threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows, in ascending order, and rows they may meet by their authors: one within the other, or of a ratio over ``threshold``.
+
+    A name within another has all its letter triples there, so its rarest one.  Two
+    names of a high ratio have so many in common that one is among the rarest of
+    both.  Names too short for that meet all that are as short.
+    """
+    rows: dict[str, list[int]] = {}
+    for i, a in enumerate(authors):
+        rows.setdefault(a, []).append(i)
+    grams = {a: _triples(a) for a in rows}
+    df = Counter(t for ts in grams.values() for t in ts)
+    bounds = {n: _lost_triples(n, threshold) for n in {len(a) for a in rows}}
+    every: dict[str, list[int]] = {}
+    rare: dict[str, list[int]] = {}
+    rarest: dict[str, list[int]] = {}
+    reach, tiny = 0, []
+    for a, ts in grams.items():
+        lost, longest = bounds[len(a)]
+        if len(ts) <= lost:
+            reach = max(reach, longest)
+        order = sorted(ts, key=lambda t: (df[t], t))
+        for k, t in enumerate(order):
+            every.setdefault(t, []).extend(rows[a])
+            if k <= lost:
+                rare.setdefault(t, []).extend(rows[a])
+        if order:
+            rarest.setdefault(order[0], []).extend(rows[a])
+        else:
+            tiny += rows[a]
+    listed = lambda at: np.array(sorted(at), dtype=np.int64)
+    for t in rare:
+        at = listed(rare[t])
+        yield at, at
+        if t in rarest and len(every[t]) > len(at):
+            yield listed(rarest[t]), listed(every[t])
+    short = listed(i for i, a in enumerate(authors) if len(a) <= reach)
+    yield short, short
+    yield listed(tiny), np.arange(len(authors))
 
 
 def _main_part(t: str) -> str:
@@ -165,32 +260,48 @@ def cluster_rows(rows: Sequence[dict], threshold: float = 0.85) -> list[tuple[in
     """``(ord, ord of seed)``: greedy star clusters around the longest rows.
 
     Two texts share at most the letters they have in common, which bounds their
-    ratio; the bound is taken for all open rows at once, and only rows within it
-    are compared.
+    ratio; only rows within the bounds are compared.  In a large book the bounds are
+    taken for rows that have letter triples of their authors in common.
     """
     order = sorted(rows, key=lambda r: (-(len(r["title"]) + len(r["author"])), r["ord"]))
     ords = [r["ord"] for r in order]
     authors = [" ".join(r["author"].split()).casefold() for r in order]
     titled = np.array([bool(r["title"].strip()) for r in order], dtype=bool)
     mains = [_main_part(r["title"]) for r in order]
-    (ac, an), (tc, tn) = _letter_counts(authors), _letter_counts(mains)
-    open_ = np.ones(len(order), dtype=bool)
+    a_, t_ = _Letters(authors), _Letters(mains)
+    n = len(order)
+    every = np.arange(n)
+    # Twice the common letters of titles are over the threshold only if those of the frequent letters are over this.
+    share = (threshold / 2 * t_.size).astype(np.int32)
+    need = share - (t_.size - t_.often) - (t_.size == 0)
+
+    def alike(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether the letters of two rows allow for one cluster; of authors, all of the shorter must be shared for one to contain the other."""
+        total, common = t_.size[i] + t_.size[j], a_.common(i, j)
+        fits = (titled[i] == titled[j]) & (~titled[i] | (2 * t_.common(i, j) > threshold * total) | (total == 0))
+        return fits & ((2 * common > threshold * (a_.size[i] + a_.size[j])) | (common >= np.minimum(a_.size[i], a_.size[j])))
+
+    found = [np.empty(0, dtype=np.int64)]
+    for left, right in _meetings(authors, threshold) if n > FEW_ROWS and threshold > 0 else [(every, every)]:
+        same, low, least, step = left is right, t_.low[right], share[right], max(1, 250_000 // max(len(right), 1))
+        for k in range(0, len(left), step):
+            some, off = left[k:k + step], k if same else 0
+            x, y = np.nonzero(np.bitwise_count(t_.low[some][:, None] & low[None, off:]) - least[None, off:] > need[some][:, None])
+            i, j = np.minimum(some[x], right[off + y]), np.maximum(some[x], right[off + y])
+            i, j = i[i < j], j[i < j]
+            fits = alike(i, j)
+            found.append(i[fits] * n + j[fits])
+    met = np.unique(np.concatenate(found))
+    starts = np.searchsorted(met, np.arange(n + 1) * n)
+    open_ = np.ones(n, dtype=bool)
     out = []
-    for i in range(len(order)):
+    for i in range(n):
         if not open_[i]:
             continue
         open_[i] = False
         out.append((ords[i], ords[i]))
-        rest = np.flatnonzero(open_ & (titled == titled[i]))
-        if not len(rest):
-            continue
-        # All of the shorter text's letters must be shared for one to contain the other.
-        common = np.minimum(ac[rest], ac[i]).sum(axis=1)
-        rest = rest[(2 * common > threshold * (an[rest] + an[i])) | (common == np.minimum(an[rest], an[i]))]
-        if titled[i] and len(rest):
-            common = np.minimum(tc[rest], tc[i]).sum(axis=1)
-            rest = rest[(2 * common > threshold * (tn[rest] + tn[i])) | (tn[rest] + tn[i] == 0)]
-        for j in rest:
+        rest = met[starts[i]:starts[i + 1]] - i * n
+        for j in rest[open_[rest]]:
             a, b = authors[i], authors[j]
             if not (a in b or b in a or ratio(a, b) > threshold):
                 continue

@@ -8,6 +8,7 @@ from ..functions.text import author_key
 from ..operators import dedup as DD
 from ..operators import enrich as E
 from ..operators import preprocess as P
+from ..operators.tables import kept
 from .functions import SQ, _article, _fold, _main, _viewer
 from .registry import BOOKS, CITATIONS, RAW, Registry, books, citations, raw_rows, table
 
@@ -106,7 +107,10 @@ def self_reference_drop(spark, d):
 
 @R.add("fuzzy_cluster")
 def fuzzy_cluster(spark, d):
-    return P.fuzzy_merge(P.collapse_variant_titles(P.exact_dedup(_flat(spark, d)))).select(F.col("group").alias("source"), "ord", "title", "author", "cite_count")
+    df = kept(_flat(spark, d))
+    for step in (P.exact_dedup, P.collapse_variant_titles):
+        df = kept(step(df))
+    return P.fuzzy_merge(df).select(F.col("group").alias("source"), "ord", "title", "author", "cite_count")
 
 
 @R.add("preprocess_chain")

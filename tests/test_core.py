@@ -103,6 +103,25 @@ def test_cluster_bound_loses_nothing():
     assert sorted(P.cluster_rows(rows_)) == sorted(want)
 
 
+@pytest.mark.parametrize("threshold", [0.7, 0.85])
+def test_large_book_equals_all_pairs(monkeypatch, threshold):
+    rng = random.Random(5)
+    slip = lambda t: "".join(c for c in t if rng.random() > 0.04)
+    people = ["Ada Lovelace", "Lovelace", "A. de la Cruz", "Li", "Ō", "Zoë Straße", "nananana nana", "Charles Babbage", "Babbage, Charles", "Anna Nanna"]
+    rows_ = [{"ord": i, "title": slip(rng.choice(["Silent Harbor of Dreams", "Second Loom", "Letters on Sleep", "((", "Новый мир", ""])), "author": slip(rng.choice(people)) or "x"} for i in range(400)]
+    whole = P.cluster_rows(rows_, threshold)
+    monkeypatch.setattr(P, "FEW_ROWS", 0)
+    assert P.cluster_rows(rows_, threshold) == whole
+
+
+def test_large_book_compares_few_rows():
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9))
+    authors = [f"{word()} {word()}" for _ in range(1500)]
+    met = sum(len(a) * len(b) for a, b in P._meetings(authors, 0.85))
+    assert met < len(authors) ** 2 / 20
+
+
 def test_keeper_of_a_work(spark):
     df = spark.createDataFrame([(1, "web_1", "w", 9), (2, "20", "w", 3), (3, "30", "w", 3), (4, "40", "v", 1), (5, "40", "v", 1), (6, None, "u", 1), (7, "70", "u", 1), (8, "80", None, 1), (9, "90", "", 1)], "ord bigint, book_id string, work_id string, cite_count bigint")
     got = rows(DD.dedup_by_work(df).select("ord", "cite_count", "merged"))
