@@ -353,7 +353,8 @@ def preprocess(df: DataFrame, aliases: DataFrame | None = None, sources: DataFra
     steps += [collapse_author_only, collapse_variant_titles, fuzzy_merge]
     if sources is not None:
         steps.append(lambda d: drop_self_references(d, sources))
+    # A merging step reads its input several times: each is a table of its own, the first one too.
+    df = kept(df)
     for step in steps:
-        # A merging step reads its input several times: each is a table of its own.
         df = kept(df.transform(step))
     return df

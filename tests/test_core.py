@@ -122,6 +122,19 @@ def test_large_book_compares_few_rows():
     assert met < len(authors) ** 2 / 20
 
 
+def test_preprocess_reads_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(author):
+        seen.add(1)
+        return author
+
+    data = [("g", i, f"Work {i}", f"Ada Lovelace {i % 3}", 1, ["a"]) for i in range(20)]
+    assert P.preprocess(working(spark, data).withColumn("author", told("author"))).count() > 0
+    assert seen.value == len(data)
+
+
 def test_keeper_of_a_work(spark):
     df = spark.createDataFrame([(1, "web_1", "w", 9), (2, "20", "w", 3), (3, "30", "w", 3), (4, "40", "v", 1), (5, "40", "v", 1), (6, None, "u", 1), (7, "70", "u", 1), (8, "80", None, 1), (9, "90", "", 1)], "ord bigint, book_id string, work_id string, cite_count bigint")
     got = rows(DD.dedup_by_work(df).select("ord", "cite_count", "merged"))
